@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +14,35 @@ from voxmill.session import checkpoint_dir
 _ELEMENT = "array<struct<seg:int,ccc:int,j:int,cp:string>>"
 
 
-def _patterns() -> tuple[str, str]:
-    """(any character that may need work, the cutter of a text into settled stretches and clusters)."""
+@lru_cache(maxsize=1)
+def _patterns() -> tuple[str, str, str]:
+    """(a character outside the plain ranges, any that may need work, the cutter of a text into settled stretches and clusters).
+
+    A class of many ranges costs time for each character tested, so stretches are first tried against the few longest
+    ranges in which nothing changes.
+    """
     changed, gone, followers = U.unsettled()
     starters, tail = U.char_class(changed), U.char_class(gone | followers)
+    plain = U.char_class(chr(c) for a, b in _plain_ranges(changed | gone | followers) for c in range(a, b))
     any_of = f"[{starters}{tail}]"
-    settled = f"(?:[^{starters}{tail}](?![{tail}]))++"
-    return any_of, f"({settled}|[^{tail}]?[{tail}]*+)"
+    settled = f"(?:[{plain}](?=[{plain}])|[^{starters}{tail}](?![{tail}]))++"
+    return f"[^{plain}]", any_of, f"({settled}|[^{tail}]?[{tail}]*+)"
+
+
+def _plain_ranges(unsettled: frozenset, least: int = 60) -> list[tuple[int, int]]:
+    """Ranges below U+D800 of at least ``least`` code points in which nothing changes, the first four and the longest four."""
+    out, start = [], 0
+    for c in range(0xD800):
+        if chr(c) in unsettled:
+            if c - start >= least:
+                out.append((start, c))
+            start = c + 1
+    return sorted({*out[:4], *sorted(out, key=lambda r: r[0] - r[1])[:4]})
+
+
+def _needs_work(text: Column) -> Column:
+    other, any_of, _ = _patterns()
+    return F.coalesce(F.when(text.rlike(other), text.rlike(any_of)).otherwise(F.lit(False)), F.lit(False))
 
 
 def mapping_table(spark: SparkSession) -> DataFrame:
@@ -67,14 +91,14 @@ def _compose_rest(marks: Column) -> Column:
 def _forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _h, _v): id, digest of the raw text, visible form."""
     spark = df.sparkSession
-    any_of, cutter = _patterns()
+    cutter = _patterns()[2]
     base = df.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(text_col, 256)).alias("_h"), F.col(text_col).alias("_t"))
-    touched = F.coalesce(F.col("_t").rlike(any_of), F.lit(False))
+    touched = _needs_work(F.col("_t"))
     settled = base.where(~touched).select("_id", "_h", F.col("_t").alias("_v"))
 
     work = base.where(touched).repartition("_id", "_h")
     pieces = work.select("_id", "_h", F.posexplode(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1))).alias("_p", "_piece")).where("_piece <> ''")
-    cluster = F.col("_piece").rlike(any_of)
+    cluster = _needs_work(F.col("_piece"))
     chars = pieces.select(
         "_id", "_h", "_p", cluster.alias("_c"),
         F.posexplode(F.when(cluster, F.split("_piece", "")).otherwise(F.array("_piece"))).alias("_k", "_ch"),
