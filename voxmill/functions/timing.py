@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
 from voxmill.functions import text as T
 
@@ -19,13 +23,13 @@ SESSION_DEFAULTS = {
 def parse_timestamps(text: Column) -> Column:
     """TM1: ARRAY<ARRAY<INT>>; a list with anything but pairs, or unreadable, is empty."""
     got = F.from_json(text, "array<array<int>>")
-    whole = F.forall(got, lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
+    whole = F.forall(got, lambda p: (F.size(p) == 2) & F.get(p, F.lit(0)).isNotNull() & F.get(p, F.lit(1)).isNotNull())
     return F.when(got.isNotNull() & whole, got).otherwise(F.array().cast("array<array<int>>"))
 
 
 def format_timestamps(pairs: Column, empty: str = "") -> Column:
     """TM1: the text of a list; an empty or null one gives ``empty``."""
-    body = F.array_join(F.transform(pairs, lambda p: F.concat(F.lit("["), p[0].cast("string"), F.lit(","), p[1].cast("string"), F.lit("]"))), ",")
+    body = F.array_join(F.transform(pairs, lambda p: F.concat(F.lit("["), F.get(p, F.lit(0)).cast("string"), F.lit(","), F.get(p, F.lit(1)).cast("string"), F.lit("]"))), ",")
     return F.when(F.size(pairs) > 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(empty)
 
 
@@ -48,52 +52,73 @@ def samples_to_ms(samples: Column, rate: int = 16000) -> Column:
     return F.floor(samples / (rate // 1000)).cast("bigint")
 
 
-#: TM2: a token that ends a sentence. The service tests bytes, so the full-width exclamation mark ends one as well.
-TERMINATOR = "^[，。？、,?！]$"
+#: TM2: tokens that end a sentence. The service tests bytes, so the full-width exclamation mark ends one as well.
+TERMINATORS = frozenset("，。？、,?！")
+_PAIRS = Y.ArrayType(Y.ArrayType(Y.IntegerType()))
+_SENTENCES = Y.ArrayType(Y.StructType([Y.StructField("text_seg", Y.StringType()), Y.StructField("punc", Y.StringType()), Y.StructField("start", Y.IntegerType()), Y.StructField("end", Y.IntegerType()), Y.StructField("ts_list", _PAIRS)]))
+_LINES = Y.ArrayType(Y.StructType([Y.StructField("text", Y.StringType()), Y.StructField("begin_s", Y.DoubleType()), Y.StructField("end_s", Y.DoubleType())]))
 
 
-def sentences(text: Column, pairs: Column) -> Column:
-    """TM2: ARRAY<STRUCT<text_seg, punc, start, end, ts_list>>; other tokens take one pair each, those beyond the list are dropped.
+def cut_sentences(tokens: list[str], pairs: list) -> list[dict]:
+    """TM2: sentences of timed tokens; each token that ends none takes one pair, those beyond the list are dropped.
 
     An empty sentence has start and end -1 if it is the first, else 0. What follows the last terminator is a sentence
     with punc "".
     """
-    state = F.struct(F.array().cast(SENTENCES).alias("done"), F.array().cast("array<string>").alias("words"), F.array().cast("array<array<int>>").alias("ts"), F.lit(0).alias("used"))
+    done, words, begun, used = [], [], 0, 0
 
-    def close(a: Column, punc: Column) -> Column:
-        none = F.when(F.size(a["done"]) == 0, -1).otherwise(0)
-        return F.struct(
-            F.array_join(a["words"], " ").alias("text_seg"), punc.alias("punc"),
-            F.when(F.size(a["ts"]) > 0, a["ts"][0][0]).otherwise(none).cast("int").alias("start"),
-            F.when(F.size(a["ts"]) > 0, F.element_at(a["ts"], -1)[1]).otherwise(none).cast("int").alias("end"), a["ts"].alias("ts_list"),
-        )
+    def close(punc: str) -> None:
+        nonlocal words, begun
+        mine = [list(p) for p in pairs[begun:used]]
+        none = 0 if done else -1
+        done.append({"text_seg": " ".join(words), "punc": punc, "start": int(mine[0][0]) if mine else none, "end": int(mine[-1][1]) if mine else none, "ts_list": mine})
+        words, begun = [], used
 
-    def step(a: Column, t: Column) -> Column:
-        ended = F.struct(F.concat(a["done"], F.array(close(a, t))).alias("done"), F.array().cast("array<string>").alias("words"), F.array().cast("array<array<int>>").alias("ts"), a["used"].alias("used"))
-        taken = F.struct(a["done"].alias("done"), F.concat(a["words"], F.array(t)).alias("words"), F.concat(a["ts"], F.array(F.element_at(pairs, a["used"] + 1))).alias("ts"), (a["used"] + 1).alias("used"))
-        return F.when(t.rlike(TERMINATOR), ended).when(a["used"] < F.size(pairs), taken).otherwise(a)
+    for t in tokens:
+        if t in TERMINATORS:
+            close(t)
+        elif used < len(pairs):
+            words.append(t)
+            used += 1
+    if words:
+        close("")
+    return done
 
-    def finish(a: Column) -> Column:
-        return F.when(F.size(a["words"]) > 0, F.concat(a["done"], F.array(close(a, F.lit(""))))).otherwise(a["done"])
 
-    return F.aggregate(T.split_timed(text), state, step, finish)
+@F.pandas_udf(_SENTENCES)
+def _cut_sentences(tokens: pd.Series, pairs: pd.Series) -> pd.Series:
+    return pd.Series([cut_sentences(list(t), list(p)) if t is not None and p is not None else [] for t, p in zip(tokens, pairs)])
 
 
-def timed_lines(text: Column, pairs: Column) -> Column:
-    """TM5: ARRAY<STRUCT<text, begin_s, end_s>>: pieces between punctuation and blanks with their seconds.
+def sentences(text: Column, pairs: Column) -> Column:
+    """TM2 over columns: ARRAY<STRUCT<text_seg, punc, start, end, ts_list>>. The tokens are cut in the JVM, the sentences in one
+    linear pass of an Arrow worker; as a fold over arrays each step would copy what is done. Null gives none."""
+    return _cut_sentences(T.split_timed(text), pairs)
 
-    An English word takes one pair, any other piece one for each character.
-    """
-    pieces = F.filter(F.split(text, r"[\s，。？、,.?!！]+"), lambda p: p != "")
-    state = F.struct(F.array().cast("array<struct<text:string,begin_s:double,end_s:double>>").alias("done"), F.lit(0).alias("used"))
 
-    def step(a: Column, p: Column) -> Column:
-        n = F.when(p.rlike("^[A-Za-z']+$"), 1).otherwise(F.char_length(p))
-        last = F.least(a["used"] + n, F.size(pairs))
-        line = F.struct(p.alias("text"), (F.element_at(pairs, a["used"] + 1)[0] / 1000.0).alias("begin_s"), (F.element_at(pairs, last)[1] / 1000.0).alias("end_s"))
-        return F.when(a["used"] < F.size(pairs), F.struct(F.concat(a["done"], F.array(line)).alias("done"), (a["used"] + n).cast("int").alias("used"))).otherwise(a)
+_ENGLISH = re.compile(r"[A-Za-z']+\Z")
+
 
-    return F.aggregate(pieces, state, step, lambda a: a["done"])
+def time_lines(pieces: list[str], pairs: list) -> list[dict]:
+    """TM5: an English word takes one pair, any other piece one for each character; pieces beyond the list are dropped."""
+    out, used = [], 0
+    for p in pieces:
+        if used >= len(pairs):
+            break
+        n = 1 if _ENGLISH.match(p) else len(p)
+        out.append({"text": p, "begin_s": pairs[used][0] / 1000, "end_s": pairs[min(used + n, len(pairs)) - 1][1] / 1000})
+        used += n
+    return out
+
+
+@F.pandas_udf(_LINES)
+def _time_lines(pieces: pd.Series, pairs: pd.Series) -> pd.Series:
+    return pd.Series([time_lines(list(t), list(p)) if t is not None and p is not None else [] for t, p in zip(pieces, pairs)])
+
+
+def timed_lines(text: Column, pairs: Column) -> Column:
+    """TM5 over columns: ARRAY<STRUCT<text, begin_s, end_s>> of the pieces between punctuation and blanks."""
+    return _time_lines(F.filter(F.split(text, r"[\s，。？、,.?!！]+"), lambda p: p != ""), pairs)
 
 
 def corpus_time(ms: Column) -> Column:

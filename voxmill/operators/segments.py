@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 
 def numbered_segments(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -51,29 +52,36 @@ def paragraph_islands(df: DataFrame, keys: list[str], order: list[Column], ends:
     return df.withColumn("island", F.coalesce(F.sum(F.when(ends, 1).otherwise(0)).over(before), F.lit(0)))
 
 
-def paragraphs(sentences: Column, length_ms: Column, shift_ms: int = 1200) -> Column:
-    """WN10, TM9 with their time guards: ARRAY<STRUCT<begin, end, text>> of sentences gathered up to a full stop.
+def gather_paragraphs(sentences: list, length_ms: float, shift_ms: int = 1200) -> list[dict]:
+    """WN10, TM9 with their time guards: sentences (start, end, text_seg, punc) gathered up to a full stop.
 
     An end lies ``shift_ms`` before the sentence's own end. A paragraph closes at a full stop if it has positive length
     and begins within the recording; the next one begins where it ended. A rest without a full stop closes alike.
     """
-    kind = "array<struct<begin:double,end:double,text:string>>"
-    state = F.struct(F.array().cast(kind).alias("done"), F.lit(0.0).alias("begin"), F.lit("").alias("text"), F.lit("。").alias("punc"), F.lit(0.0).alias("end"))
+    out, begin, end, text, punc = [], 0.0, 0.0, "", "。"
 
-    def step(a: Column, s: Column) -> Column:
-        begin = F.when(a["begin"] == 0.0, s["start"].cast("double")).otherwise(a["begin"])
-        end = s["end"].cast("double") - shift_ms
-        text = F.concat(a["text"], s["text_seg"], F.lit(" "), s["punc"])
-        closes = (s["punc"] == "。") & (begin < end) & (begin < length_ms)
-        closed = F.struct(F.concat(a["done"], F.array(F.struct(begin.alias("begin"), end.alias("end"), text.alias("text")))).alias("done"), end.alias("begin"), F.lit("").alias("text"), s["punc"].alias("punc"), end.alias("end"))
-        kept = F.struct(a["done"].alias("done"), begin.alias("begin"), text.alias("text"), s["punc"].alias("punc"), end.alias("end"))
-        return F.when(closes, closed).otherwise(kept)
+    def fits() -> bool:
+        return begin < end and begin < length_ms
 
-    def finish(a: Column) -> Column:
-        rest = F.array(F.struct(a["begin"].alias("begin"), a["end"].alias("end"), a["text"].alias("text")))
-        return F.when((a["punc"] != "。") & (a["begin"] < a["end"]) & (a["begin"] < length_ms), F.concat(a["done"], rest)).otherwise(a["done"])
+    for s in sentences:
+        begin = begin or float(s["start"])
+        end, punc = float(s["end"]) - shift_ms, s["punc"]
+        text += f"{s['text_seg']} {punc}"
+        if punc == "。" and fits():
+            out.append({"begin": begin, "end": end, "text": text})
+            begin, text = end, ""
+    if punc != "。" and fits():
+        out.append({"begin": begin, "end": end, "text": text})
+    return out
 
-    return F.aggregate(sentences, state, step, finish)
+
+_PARAGRAPHS = ArrayType(StructType([StructField("begin", DoubleType()), StructField("end", DoubleType()), StructField("text", StringType())]))
+
+
+@F.pandas_udf(_PARAGRAPHS)
+def paragraphs(sentences: pd.Series, length_ms: pd.Series) -> pd.Series:
+    """gather_paragraphs() over columns; null sentences give none."""
+    return pd.Series([gather_paragraphs(s, n) if s is not None else [] for s, n in zip(sentences, length_ms)])
 
 
 def tolerance_join(tests: DataFrame, data: DataFrame, key: str, begin: str = "start", end: str = "end", within: float = 3, order: str = "ord") -> DataFrame:
@@ -113,7 +121,7 @@ def speaker_of_segments(segments: DataFrame, turns: DataFrame, key: str, cell_ms
 def pack_batches(segments: DataFrame, key: str, length: str, most_ms: float = 300_000, alone_ms: float = 60_000) -> DataFrame:
     """SRT6, SRT7: segments with ``batch``, filled greedily from the shortest: a batch's longest times its count stays within
     ``most_ms``; one of ``alone_ms`` or more goes alone. Batches are numbered within the key (a worker's share)."""
-    out = segments.schema.add("batch", "int")
+    out = StructType([*segments.schema.fields, StructField("batch", IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(length, kind="stable")

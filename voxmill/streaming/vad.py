@@ -30,15 +30,15 @@ class SpeechState:
     free: int = 0  # first frame that no segment or dropped silence holds
     next: int = 0
     half: bool = False  # the begin was sent without an end
+    total: int = 0  # of the votes
 
     def feed(self, speech: bool, final: bool, tail_ms: int, longest_ms: int) -> tuple[int, int] | None:
         """A closed segment (first frame, frame after the last), if this frame closes one."""
         t = self.next
         self.next += 1
         self.votes.append(int(speech))
-        if len(self.votes) > WINDOW:
-            self.votes.pop(0)
-        total, was = sum(self.votes), self.speaking
+        self.total += self.votes[-1] - (self.votes.pop(0) if len(self.votes) > WINDOW else 0)
+        total, was = self.total, self.speaking
         if not was and total >= VOTES:
             self.speaking = True
         elif was and total <= VOTES:
@@ -61,7 +61,7 @@ class SpeechState:
         if end is None:
             return None
         out = (self.start, max(end, self.start) + 1)
-        self.start, self.silence, self.speaking, self.votes, self.free = -1, 0, False, [], out[1]
+        self.start, self.silence, self.speaking, self.votes, self.total, self.free = -1, 0, False, [], 0, out[1]
         return out
 
 
@@ -82,10 +82,10 @@ def boundaries(state: SpeechState, frames: list[tuple[bool, bool]], tail_ms: int
 def segments_of_table(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_000) -> DataFrame:
     """STR3: (stream_id, start_ms, end_ms) of each segment of a table of frames. A stream's last frame closes what is open.
 
-    Streams are sorted within their partition and passed through frame by frame; only one stream's state is held. Frames
-    given twice count once; a null flag is silence.
+    Streams are sorted within their partition and passed through frame by frame; only one stream's state is held. A frame
+    given twice is speech if either row says so; a null flag is silence.
     """
-    clean = frames.select("stream_id", F.col("frame").cast("int").alias("frame"), F.coalesce("speech", F.lit(False)).alias("speech")).dropDuplicates(["stream_id", "frame"])
+    clean = frames.select("stream_id", F.col("frame").cast("int").alias("frame"), F.coalesce("speech", F.lit(False)).alias("speech")).groupBy("stream_id", "frame").agg(F.max("speech").alias("speech"))
     ordered = clean.repartition("stream_id").sortWithinPartitions("stream_id", "frame")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
