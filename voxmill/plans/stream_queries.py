@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from voxmill.sources import readers as R
 from voxmill.sources import sinks as W
@@ -27,11 +28,11 @@ def _run(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append"
         batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema.add("_batch", "int")).parquet(f"{out}/batch=*")
+    return spark.read.schema(StructType([*stream.schema.fields, StructField("_batch", IntegerType())])).parquet(f"{out}/batch=*")
 
 
 def snk1_src3_manifest(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "wav_scp_raw").where(F.col("audio_in").rlike("^[^\t\"\r\n]+\t/[^\t\"\r\n]+$"))
+    rows = table(spark, d, "wav_scp_raw").where(F.col("audio_in").rlike(r'^[^\t"\r\n]+\t/[^\t"\r\n]+\z'))
     path = _folder(spark, "manifest")
     W.write_lines(rows.select(F.col("audio_in").alias("value")), path)
     return R.parse_manifest(spark.read.text(path))
@@ -79,21 +80,20 @@ def snk6_fixed_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def str3_stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Session windows over the events as a stream, with a watermark of a day; sessions still open at its end are added from
-    the table's last day, so that the result is whole."""
+    """Session windows over the events as a stream, in complete mode: after its last micro-batch the result holds every session,
+    those still open included. The result of the last micro-batch counts."""
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    closed = _run(vad.session_windows(events, "user_id", "ts", "6 hours", "1 day"), spark, "sessions").select("user_id", "session_start", "n")
-    rows = vad.session_windows(table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts")), "user_id", "ts", "6 hours").select("user_id", "session_start", "n")
-    still_open = rows.join(closed, ["user_id", "session_start"], "left_anti")
-    return closed.unionByName(still_open).select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "n")
+    states = _run(vad.session_windows(events, "user_id", "ts", "6 hours"), spark, "sessions", "complete")
+    last = states.agg(F.max("_batch").alias("_last"))
+    return states.join(F.broadcast(last), F.col("_batch") == F.col("_last")).select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "n")
 
 
 def str8_stream_merge(spark: SparkSession, d: str) -> DataFrame:
     """The two-pass merge as a stream over the messages in order of arrival; the last state of each connection."""
     schema = table(spark, d, "result_message").schema
     messages = spark.readStream.schema(schema).parquet(f"{d}/result_message.parquet*").where("conn_id is not null and seq_no is not null").select("conn_id", "seq_no", "mode", "text")
-    states = _run(twopass.merge_stream(messages), spark, "merge", "update")
+    states = _run(twopass.merge_stream(messages, idle_ms=None), spark, "merge", "update")
     return states.groupBy("conn_id").agg(F.max_by("text", F.col("seq_no")).alias("text"))
 
 
@@ -123,7 +123,7 @@ def str1_stream_vad(spark: SparkSession, d: str) -> DataFrame:
     path = _folder(spark, "frames")
     numbered.write.parquet(path)
     stream = spark.readStream.schema(numbered.schema).parquet(path)
-    return _run(vad.segment_stream(stream, tail_ms=250, longest_ms=500), spark, "vad").select("stream_id", "start_ms", "end_ms")
+    return _run(vad.segment_stream(stream, tail_ms=250, longest_ms=500, idle_ms=None), spark, "vad").select("stream_id", "start_ms", "end_ms")
 
 
 _SESSION_SQL = "SELECT user_id, min(ts) AS session_start, count(*) AS n FROM (SELECT *, sum(CASE WHEN d >= 21600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM events)) GROUP BY user_id, s"

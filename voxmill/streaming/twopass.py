@@ -96,11 +96,12 @@ def merged_text(messages: DataFrame) -> DataFrame:
     return kept.groupBy("conn_id").agg(F.array_join(ordered, "").alias("text"), F.sum(F.col("final").cast("int")).alias("finals"), F.sum((~F.col("final")).cast("int")).alias("partials"))
 
 
-def merge_stream(messages: DataFrame, idle_ms: int = 60_000) -> DataFrame:
+def merge_stream(messages: DataFrame, idle_ms: int | None = 60_000) -> DataFrame:
     """STR8, STR9 over a stream of (conn_id, seq_no, mode, text, is_final): (conn_id, seq_no, text) after each micro-batch.
 
     State: the fixed text, the open partial text, the numbers done. A number is applied once; numbers of one micro-batch
-    are put in order. A connection without input for ``idle_ms`` frees its state.
+    are put in order. A connection without input for ``idle_ms`` frees its state (None: never, for streams
+    that end).
     """
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         empty = pd.DataFrame(columns=["conn_id", "seq_no", "text"])
@@ -119,10 +120,11 @@ def merge_stream(messages: DataFrame, idle_ms: int = 60_000) -> DataFrame:
             else:
                 s["open"] += text
         state.update((json.dumps(s),))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame([(key[0], s["seq"], s["fixed"] + s["open"])], columns=["conn_id", "seq_no", "text"])
 
-    return messages.groupBy("conn_id").applyInPandasWithState(update, "conn_id bigint, seq_no int, text string", "state string", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return messages.groupBy("conn_id").applyInPandasWithState(update, "conn_id bigint, seq_no int, text string", "state string", "update", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def latest_settings(config: DataFrame, defaults: dict) -> DataFrame:

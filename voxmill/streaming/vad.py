@@ -112,10 +112,11 @@ def segments_of_table(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 1
     return ordered.mapInPandas(run, BOUNDS)
 
 
-def segment_stream(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_000, idle_ms: int = 60_000) -> DataFrame:
+def segment_stream(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_000, idle_ms: int | None = 60_000) -> DataFrame:
     """STR1, STR3, STR4, STR9: the same over a stream of frames, as boundaries in order of detection.
 
-    The key's state is its SpeechState alone. A final frame frees it, as does ``idle_ms`` without input (processing time).
+    The key's state is its SpeechState alone. A final frame frees it, as does ``idle_ms`` without input (processing time; None: never, for
+    streams that end).
     Frames of one micro-batch are put in order; a frame number already passed is dropped.
     """
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -132,10 +133,11 @@ def segment_stream(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_0
             state.remove()
         else:
             state.update((json.dumps(asdict(s)),))
-            state.setTimeoutDuration(idle_ms)
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame([(key[0], a, b) for a, b in out], columns=["stream_id", "start_ms", "end_ms"])
 
-    return frames.groupBy("stream_id").applyInPandasWithState(update, BOUNDS, "state string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return frames.groupBy("stream_id").applyInPandasWithState(update, BOUNDS, "state string", "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def closed_segments(bounds: DataFrame, order: str) -> DataFrame:
@@ -156,4 +158,4 @@ def session_windows(events: DataFrame, key: str, at: str, gap: str, late: str |
     """Sessions of a stream or table by a gap; in a stream, rows later than ``late`` are dropped by the watermark."""
     marked = events.withWatermark(at, late) if late else events
     w = F.session_window(at, gap)
-    return marked.groupBy(w.alias("w"), F.col(key)).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
+    return marked.groupBy(F.col(key), w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
