@@ -96,28 +96,29 @@ def _forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     touched = _needs_work(F.col("_t"))
     settled = base.where(~touched).select("_id", "_h", F.col("_t").alias("_v"))
 
-    work = base.where(touched).repartition("_id", "_h")
-    pieces = work.select("_id", "_h", F.posexplode(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1))).alias("_p", "_piece")).where("_piece <> ''")
+    # Rows are told apart by number within their partition, so that equal rows stay two; it never crosses an exchange.
+    work = base.where(touched).repartition("_id", "_h").withColumn("_r", F.monotonically_increasing_id())
+    pieces = work.select("_id", "_h", "_r", F.posexplode(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1))).alias("_p", "_piece")).where("_piece <> ''")
     cluster = _needs_work(F.col("_piece"))
     chars = pieces.select(
-        "_id", "_h", "_p", cluster.alias("_c"),
+        "_id", "_h", "_r", "_p", cluster.alias("_c"),
         F.posexplode(F.when(cluster, F.split("_piece", "")).otherwise(F.array("_piece"))).alias("_k", "_ch"),
     )
     mapped = chars.join(F.broadcast(mapping_table(spark)), F.col("_c") & (F.col("_ch") == F.col("ch")), "left")
     itself = F.array(F.struct(F.lit(0).alias("seg"), F.lit(0).alias("ccc"), F.lit(0).alias("j"), F.col("_ch").alias("cp")))
-    parts = mapped.select("_id", "_h", "_p", "_c", "_k", F.explode(F.coalesce("out", itself)).alias("e"))
+    parts = mapped.select("_id", "_h", "_r", "_p", "_c", "_k", F.explode(F.coalesce("out", itself)).alias("e"))
     # Within a cluster: a base's earlier starters, its last starter, then every mark by class, ties in order of place.
     ordered = F.sort_array(F.collect_list(F.struct(F.col("e.seg").alias("seg"), F.col("e.ccc").alias("ccc"), F.col("_k").alias("k"), F.col("e.j").alias("j"), F.col("e.cp").alias("cp"))))
-    clusters = parts.groupBy("_id", "_h", "_p").agg(F.first("_c").alias("_c"), ordered.alias("_e"))
+    clusters = parts.groupBy("_id", "_h", "_r", "_p").agg(F.first("_c").alias("_c"), ordered.alias("_e"))
     clusters = clusters.withColumn("_s", F.array_join(F.transform("_e", lambda e: e["cp"]), ""))
     many = F.col("_c") & (F.size("_e") > 1)
     whole = clusters.join(F.broadcast(composition_table(spark)), many & (F.col("_s") == F.col("cluster")), "left")
-    done = whole.select("_id", "_h", "_p", F.when(~many, F.col("_s")).when(F.col("composed").isNotNull(), F.col("composed")).otherwise(_compose_rest(F.col("_e"))).alias("_s"))
-    rebuilt = done.groupBy("_id", "_h").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", "_s"))), lambda e: e["_s"]), "").alias("_v"))
+    done = whole.select("_id", "_h", "_r", "_p", F.when(~many, F.col("_s")).when(F.col("composed").isNotNull(), F.col("composed")).otherwise(_compose_rest(F.col("_e"))).alias("_s"))
+    rebuilt = done.groupBy("_id", "_h", "_r").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", "_s"))), lambda e: e["_s"]), "").alias("_v"))
     # A text of nothing but characters without ink has no cluster with a code point left; it is empty, not gone.
     no_ink = F.regexp_replace("_t", f"[{U.char_class(U.unsettled()[1])}]+", "") == ""
-    emptied = base.where(touched & no_ink).select("_id", "_h", F.lit("").alias("_v")).distinct()
-    return settled.unionByName(rebuilt).unionByName(emptied)
+    emptied = base.where(touched & no_ink).select("_id", "_h", F.lit("").alias("_v"))
+    return settled.unionByName(rebuilt.select("_id", "_h", "_v")).unionByName(emptied)
 
 
 def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: str = "visible") -> DataFrame:
@@ -133,8 +134,7 @@ def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: st
     kind of blank, characters without ink, encoded form of letters and accents, ligatures, letters of another script
     with the shape of a Latin one.
 
-    Null texts give null, empty ones the empty string; repeated ids are kept as separate rows if the texts differ and
-    merged if alike; columns other than the two named are ignored, so clashing names do no harm.
+    Null texts give null, empty ones the empty string; repeated rows stay repeated; columns other than the two named are ignored, so clashing names do no harm.
     """
     return _forms(df, id_col, text_col).select(F.col("_id").alias(id_col), F.col("_v").alias(out_col))
 
