@@ -60,3 +60,13 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(out)
     sc._voxmill_shipped = True
+
+
+def spread(df):
+    """A scan's rows over all cores, for work in Python workers that costs far more than moving a row.
+
+    Only where the scan has fewer partitions than the session has cores: few or unsplittable files. Large inputs keep
+    their own partitions and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
