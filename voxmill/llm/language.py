@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm.sentences import BoundaryModel, learn_boundaries, split_sentences
+from voxmill.session import spread
 
 LANGUAGES = ("en", "zh", "de", "fr", "es")
 PROFILE_SIZE = 2000
@@ -104,7 +105,7 @@ def label_code(label: Column) -> Column:
     return F.lower(F.trim(F.regexp_extract(label, r"^([^-_]*)", 1)))
 
 
-def train_profiles(documents: DataFrame, most: int = 3000) -> RankProfiles:
+def train_profiles(documents: DataFrame, most: int = 1500) -> RankProfiles:
     """Profiles from at most ``most`` documents whose label and folder name the same language (least hashes of the id).
 
     The labels are unsure, so each sentence is then given to the nearest of these first profiles, and the profiles are
@@ -181,7 +182,7 @@ def language_segments(documents: DataFrame, profiles: RankProfiles, boundaries:
             out = [[{"lang": x, "confidence": c, "sentences": n} for x, c, n in segment(split_sentences(t, b), p, h)] for t, h in zip(pdf["text"], pdf["code"])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "code": pdf["code"], "segments": out})
 
-    return documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).mapInPandas(run, f"doc_id bigint, code string, segments {SEGMENTS}")
+    return spread(documents.select("doc_id", "text", label_code(F.col("lang")).alias("code"))).mapInPandas(run, f"doc_id bigint, code string, segments {SEGMENTS}")
 
 
 def document_languages(segments: DataFrame) -> DataFrame:
@@ -199,7 +200,7 @@ def document_languages(segments: DataFrame) -> DataFrame:
     return rows.select("doc_id", "code", F.col("p.lang").alias("lang"), F.col("p.n").alias("sentences"), (F.col("p.n") / F.col("total")).alias("share"), (F.col("p.c") / F.col("p.n")).alias("confidence"))
 
 
-def wrong_labels(documents: DataFrame, share: float = 0.2, most_labelled: int = 3000) -> DataFrame:
+def wrong_labels(documents: DataFrame, share: float = 0.2, most_labelled: int = 1500) -> DataFrame:
     """(doc_id, found_lang): the languages with at least ``share`` of a document's sentences, of the documents whose label is
     missing, wrong or names only one of several. Documents without sentences are not reported."""
     segments = language_segments(documents, train_profiles(documents, most_labelled), learn_boundaries(documents))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm.sentences import cleaned
+from voxmill.session import spread
 
 _UNIT = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’-][^\W_㐀-鿿]+)*")
 #: Half words: a word weighs two, a Chinese character one, so five words and ten characters are one measure.
@@ -184,5 +185,5 @@ def repetition(documents: DataFrame, least: float = 0.0, order: list[str] | None
                 rules.append(by)
             yield pd.DataFrame({"_id": pdf["_id"], "share": pd.array(shares, dtype="Float64"), "rule": rules})
 
-    out = documents.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text")).mapInPandas(run, "_id bigint, share double, rule string")
+    out = spread(documents.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))).mapInPandas(run, "_id bigint, share double, rule string")
     return out.withColumnRenamed("_id", id_col)

@@ -93,7 +93,7 @@ def split_sentences(text: str | None, boundaries: BoundaryModel | None = None) -
     return [s for p in parts if (s := p.strip()) and _HAS_LETTER.search(s)]
 
 
-def learn_boundaries(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 4000) -> BoundaryModel:
+def learn_boundaries(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 2500) -> BoundaryModel:
     """A boundary model from at most ``most`` punctuated documents, those with the least hash of the id."""
     rows = documents.where(F.col(text_col).rlike("[.!?。！？].*[.!?。！？]")).orderBy(F.xxhash64(id_col), id_col).limit(most).select(text_col).collect()
     return BoundaryModel.train([r[0] for r in rows])

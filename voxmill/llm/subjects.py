@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from voxmill.llm import linear
 from voxmill.llm.language import train_profiles
 from voxmill.llm.sentences import UNIT, BoundaryModel, learn_boundaries, split_sentences
+from voxmill.session import spread
 
 BITS = 18
 
@@ -191,7 +192,7 @@ def subject_shares(documents: DataFrame, model: SubjectModel) -> DataFrame:
             maps = [{m.subjects[c]: float(row[c]) for c in np.flatnonzero(row)} for row in share]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "sentences": n.astype("int32"), "shares": maps})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id bigint, sentences int, shares map<string,double>")
+    return spread(documents.select("doc_id", "text")).mapInPandas(run, "doc_id bigint, sentences int, shares map<string,double>")
 
 
 def subjects_found(shares: DataFrame, least: float = 0.25) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxmill.session import spread
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
@@ -34,4 +36,4 @@ def token_sizes(documents: DataFrame, keep: list[str], text_col: str = "text", t
                 sizes += [None if t is None else len(next(got).ids) for t in part]
             yield pdf.assign(tokens=pd.array(sizes, dtype="Int32"))
 
-    return documents.select(*keep, F.col(text_col).alias("_text")).mapInPandas(run, schema)
+    return spread(documents.select(*keep, F.col(text_col).alias("_text"))).mapInPandas(run, schema)
