@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ OPINION_POLYNOMIALS = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once a row. A lambda's body would work out an outer expression for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def array_sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
@@ -25,10 +32,8 @@ def log_add(a: Column, b: Column) -> Column:
 def softmax(a: Column, mask: Column | None = None) -> Column:
     """NM2: masked-out places (mask 0) get 0."""
     kept = a if mask is None else F.zip_with(a, mask, lambda x, m: F.when(m != 0, x))
-    top = F.array_max(kept)
-    powers = F.transform(kept, lambda x: F.coalesce(F.exp(x - top), F.lit(0.0)))
-    total = array_sum(powers)
-    return F.transform(powers, lambda x: x / total)
+    powers = let(F.array_max(kept), lambda top: F.transform(kept, lambda x: F.coalesce(F.exp(x - top), F.lit(0.0))))
+    return let(powers, lambda p: let(array_sum(p), lambda total: F.transform(p, lambda x: x / total)))
 
 
 def log_softmax(a: Column, floor: float = 1e-10) -> Column:
@@ -61,7 +66,7 @@ def glu(a: Column) -> Column:
 def basic_norm(a: Column, eps: float = 0.25) -> Column:
     """NM3: divided by the root of the mean square plus eps."""
     scale = F.sqrt(array_sum(F.transform(a, lambda x: x * x)) / F.size(a) + eps)
-    return F.transform(a, lambda x: x / scale)
+    return let(scale, lambda k: F.transform(a, lambda x: x / k))
 
 
 def cmvn(a: Column, shift: Column, scale: Column) -> Column:
