@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,10 @@ from voxmill.llm.sentences import UNIT, BoundaryModel, learn_boundaries, split_s
 from voxmill.session import spread
 
 BITS = 18
+#: How likely a sentence is about no subject before its words are read, in weak labelling.
+NONE = 0.55
+#: A sentence that so many documents of the training sample share is no example of a subject.
+COMMON = 6
 
 
 def features(sentence: str) -> list[str]:
@@ -43,8 +48,19 @@ def features(sentence: str) -> list[str]:
 
 
 def topic_words(sentence: str) -> list[str]:
-    """The features that weak labelling counts: single words, and pairs and triples of Chinese characters."""
-    return [f for f in features(sentence) if (len(f) < 4 if "㐀" <= f[0] <= "鿿" else " " not in f)]
+    """The features that weak labelling counts: single words, and pairs of Chinese characters."""
+    return [f for f in features(sentence) if (len(f) == 2 if "㐀" <= f[0] <= "鿿" else " " not in f)]
+
+
+def ending(sentence: str) -> str:
+    """The last 25 letters, by which sentences count as the same in training; loops vary by a filler or number."""
+    return "".join(c for c in sentence.lower() if c.isalpha())[-25:]
+
+
+def said_once(sentences: list[str]) -> list[str]:
+    """Sentences without later repetitions. A stuck recogniser's loop would else count as forty examples of its document's
+    label. For training only."""
+    return list({ending(s): s for s in reversed(sentences)}.values())[::-1]
 
 
 class SubjectModel:
@@ -101,10 +117,8 @@ def weak_labels(words: list[list[str]], doc: np.ndarray, label: np.ndarray, grou
         known = np.full(len(docs), -1)
         known[d] = label[mine]
         background = np.bincount(idx, minlength=size) / len(idx)
-        # Without evidence a sentence is about none; a document's own evidence outweighs this after a few sentences.
-        prior = np.full((len(docs), k + 1), 0.3)
+        prior = np.full((len(docs), k), 0.3)
         prior[known >= 0, known[known >= 0]] = 4.0
-        prior[:, k] = 6.0
         seeded = known[d] >= 0
         post = np.zeros((len(mine), k + 1), dtype=np.float32)
         post[seeded, known[d][seeded]] = 0.6
@@ -113,9 +127,11 @@ def weak_labels(words: list[list[str]], doc: np.ndarray, label: np.ndarray, grou
         for _ in range(rounds):
             counts = np.stack([np.bincount(idx, weights=np.repeat(post[:, z], length), minlength=size) for z in range(k + 1)], axis=1)
             like = np.log((counts + smooth * background[:, None]) / (counts.sum(0) + smooth)) - np.log(background)[:, None]
-            mix = prior.copy()
-            np.add.at(mix, d, post)
-            mix /= mix.sum(1, keepdims=True)
+            # Without evidence a sentence is as likely about none in any document; only which subject follows the document.
+            # Were the share of none the document's own too, small talk would drift to the subject it stands beside.
+            mass = prior.copy()
+            np.add.at(mass, d, post[:, :k])
+            mix = np.concatenate([(1 - NONE) * mass / mass.sum(1, keepdims=True), np.full((len(docs), 1), NONE)], axis=1)
             logits = linear.OneVersusRest(like.astype(np.float32), np.zeros(k + 1, dtype=np.float32)).logits(ptr, idx) + np.log(mix)[d]
             logits -= logits.max(1, keepdims=True)
             post = np.exp(logits).astype(np.float32)
@@ -133,15 +149,21 @@ def train(sample: list[tuple[int, str, str | None]], subjects: list[str], bounda
     ``language`` gives a sentence's language; without it all sentences form one group.
     """
     k, index = len(subjects), {s: i for i, s in enumerate(subjects)}
-    docs = [(split_sentences(t, boundaries), index.get(s, -1)) for _, t, s in sorted(sample, key=lambda x: (x[0], x[2] or ""))]
+    docs = [(said_once(split_sentences(t, boundaries)), index.get(s, -1)) for _, t, s in sorted(sample, key=lambda x: (x[0], x[2] or ""))]
     docs = [x for x in docs if x[0]]
     if not any(c >= 0 for _, c in docs):
         return SubjectModel(subjects, linear.OneVersusRest(np.zeros((1 << BITS, k), dtype=np.float32), np.full(k, -9, dtype=np.float32)), np.full(k, 0.5), boundaries)
     sentences = [s for ss, _ in docs for s in ss]
     doc = np.repeat(np.arange(len(docs)), [len(ss) for ss, _ in docs])
     label = np.array([c for _, c in docs])[doc]
-    group = np.array([language(s) for s in sentences]) if language else np.zeros(len(sentences), dtype=np.int64)
-    y = weak_labels([topic_words(s) for s in sentences], doc, label, group, k)[:, :k]
+    # What many documents say word for word (announcements, greetings) tells no document's subject: examples of none.
+    # Where no mark parts it from the sentence before, its end gives it away.
+    common = tuple(e for e, n in Counter(map(ending, sentences)).items() if n >= COMMON and len(e) >= 8)
+    own = np.array([not ending(s).endswith(common) for s in sentences])
+    group = np.array([(language(s) if language else 0) if o else -1 for s, o in zip(sentences, own)])
+    y = np.zeros((len(sentences), k), dtype=np.float32)
+    if own.any():
+        y[own] = weak_labels([topic_words(s) for s, o in zip(sentences, own) if o], doc[own], label[own], group[own], k)[:, :k]
     hasher = linear.FeatureHasher(BITS)
     rows = [hasher(features(s)) for s in sentences]
     held = doc % 5 == 4
