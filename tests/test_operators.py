@@ -105,9 +105,10 @@ def test_text_cases(spark):
     assert one(spark, "i like 你 好 ok", T.join_mandarin) == "i like你好ok"
     assert one(spark, "ok你好", T.space_mandarin) == "ok 你 好"
     assert one(spark, "(ppl) 你好 <ppb> PPL hello, ａé <unk a>", T.normalize_dialog) == "<noise> 你 好 <noise> hello ae <unk>"
-    assert one(spark, "a b.c/d e.f.wav", T.safe_name) == "a-b-c/d-e-f.wav"
+    assert one(spark, "a b.c/d e.f.wav", T.safe_name) == "a-b.c/d-e-f.wav"
     assert one(spark, "a:b:", lambda c: T.split_fields(c, ":", keep_tail=False)) == ["a", "b"]
     assert one(spark, 'date { day: "1" x: "a\\"b" year: "2" }', T.reorder_tagged) == 'date { year: "2" day: "1" }'
+    assert one(spark, 'money { value: "1" currency: "E" } w { a: "}" }', T.reorder_tagged) == 'money { currency: "E" value: "1" } w { a: "}" }'
     assert one(spark, 'word { b: "1" a: "2" }', T.reorder_tagged) == 'word { b: "1" a: "2" }'
     with pytest.raises(ValueError):
         T.fold_case(F.lit("a"), True, True)

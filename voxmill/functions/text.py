@@ -266,7 +266,7 @@ def normalize_dialog(text: Column) -> Column:
 
 #: TN9: order of fields when a tagged token is spoken (TN) or written (ITN), by type of token.
 SPOKEN_ORDER = {"date": ("year", "month", "day"), "fraction": ("denominator", "numerator"), "measure": ("denominator", "numerator", "value"), "money": ("value", "currency"), "time": ("noon", "hour", "minute", "second")}
-WRITTEN_ORDER = {"date": ("year", "month", "day"), "fraction": ("sign", "numerator", "denominator"), "measure": ("numerator", "denominator", "value"), "money": ("currency", "value", "decimal"), "time": ("hour", "minute", "second", "noon")}
+WRITTEN_ORDER = {"date": ("year", "month", "day"), "fraction": ("sign", "numerator", "denominator"), "measure": ("numerator", "denominator", "value"), "money": ("currency", "value"), "time": ("hour", "minute", "second", "noon")}
 
 
 def tagged_fields(token: Column) -> Column:
@@ -275,8 +275,16 @@ def tagged_fields(token: Column) -> Column:
     return F.transform(found, lambda s: F.struct(F.regexp_extract(s, r"^(\w+):", 1).alias("k"), F.regexp_replace(F.regexp_extract(s, r'"(.*)"$', 1), r"\\(.)", "$1").alias("v")))
 
 
-def reorder_tagged(token: Column, written: bool = True) -> Column:
-    """TN9: the token with its fields in its type's order; types without an order and fields outside it keep the input's."""
+_TOKEN = r'\w+ \{(?:\s*\w+: "(?:[^"\\]|\\.)*+")*+\s*\}'
+
+
+def reorder_tagged(text: Column, written: bool = True) -> Column:
+    """TN9: each tagged token of a text with its fields in its type's order, those outside the order left out; types without
+    an order keep the input's."""
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"({_TOKEN})"), F.lit(1)), lambda t: _reordered(t, written)), " ")
+
+
+def _reordered(token: Column, written: bool) -> Column:
     name = F.regexp_extract(token, r"^\s*(\w+)\s*\{", 1)
     fields = tagged_fields(token)
     orders = WRITTEN_ORDER if written else SPOKEN_ORDER
@@ -300,12 +308,12 @@ def latin_punctuation(text: Column) -> Column:
 
 
 def safe_name(path: Column, most: int = 15) -> Column:
-    """TN13, SNK14: a path with a blank gets '-' for blanks and dots and a short name; others stay."""
-    folder = F.regexp_extract(path, r"^(.*/)?[^/]*$", 1)
+    """TN13, SNK14: a path with a blank gets '-' for blanks, and for dots in the name, which is cut short; others stay."""
+    folder = F.replace(F.regexp_extract(path, r"^(.*/)?[^/]*$", 1), F.lit(" "), F.lit("-"))
     base = F.regexp_extract(path, r"([^/]*)$", 1)
-    stem = F.regexp_extract(base, r"^(.*?)(\.[^.]*)?$", 1)
-    ext = F.regexp_extract(base, r"(\.[^.]*)$", 1)
-    return F.when(path.contains(" "), F.concat(F.translate(folder, " .", "--"), F.substring(F.translate(stem, " .", "--"), 1, most), ext)).otherwise(path)
+    stem = F.regexp_extract(base, r"^(.+?)(\.[^.]*)?$", 1)
+    ext = F.substring(base, F.char_length(stem) + 1, F.char_length(base))
+    return F.when(path.contains(" "), F.concat(folder, F.substring(F.translate(stem, " .", "--"), 1, most), F.replace(ext, F.lit(" "), F.lit("-")))).otherwise(path)
 
 
 def split_fields(text: Column, sep: str = " ", keep_empty: bool = True, keep_tail: bool = True) -> Column:

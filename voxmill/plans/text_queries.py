@@ -97,7 +97,7 @@ _over("tn7_dialog", utt, "utt", lambda t: {"plain": T.normalize_dialog(t)}, None
 _over("tn10_latin_punct", doc, "doc_id", lambda t: {"plain": T.latin_punctuation(t)}, "translate(text, '，。、？', ',.,?') AS plain")
 _over(
     "tn13_safe_name", "result_message", "msg_id", lambda t: {"safe": T.safe_name(F.replace(F.col("wav_name"), F.lit("_"), F.lit(" ")))},
-    r"""CASE WHEN contains(p, ' ') THEN translate(regexp_extract(p, '^(.*/)?[^/]*$', 1), ' .', '--') || substr(translate(regexp_extract(regexp_extract(p, '([^/]*)$', 1), '^(.*?)(\.[^.]*)?$', 1), ' .', '--'), 1, 15) || regexp_extract(p, '(\.[^./]*)$', 1) ELSE p END AS safe FROM (SELECT msg_id, replace(wav_name, '_', ' ') AS p FROM result_message)""",
+    r"""CASE WHEN contains(p, ' ') THEN replace(regexp_extract(p, '^(.*/)?[^/]*$', 1), ' ', '-') || substr(translate(regexp_extract(regexp_extract(p, '([^/]*)$', 1), '^(.+?)(\.[^.]*)?$', 1), ' .', '--'), 1, 15) || replace(regexp_extract(p, '(\.[^./]*)$', 1), ' ', '-') ELSE p END AS safe FROM (SELECT msg_id, replace(wav_name, '_', ' ') AS p FROM result_message)""",
 )
 _over(
     "tn14_split", utt, "utt", lambda t: {"all_n": F.size(T.split_fields(t)), "full_n": F.size(T.split_fields(t, keep_empty=False)), "tail_n": F.size(T.split_fields(t, keep_tail=False))},
