@@ -16,7 +16,7 @@ def p2_loaded(spark: SparkSession, d: str) -> DataFrame:
     return rejects.strict_load(table(spark, d, "wav_scp_raw"))
 
 
-_READ = r"""
+READ = r"""
 WITH raw AS (SELECT line_id, regexp_replace(audio_in, '\r\z', '') AS line FROM wav_scp_raw),
 cut AS (SELECT *, regexp_full_match(line, '(("[^"]*(""[^"]*)*")|([^"\t][^"\t]*)|())(\t(("[^"]*(""[^"]*)*")|([^"\t]*)))*') AS quoted,
   regexp_full_match(line, '("[^"]*(""[^"]*)*"|[^"\t]*)\t("[^"]*(""[^"]*)*"|[^"\t]*)') AS two,
@@ -36,4 +36,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _READ + "SELECT line_id, reason FROM judged WHERE reason IS NOT NULL", "p2_loaded": _READ + "SELECT line_id, utt, path FROM judged WHERE reason IS NULL"}
+    return {"p2_found": READ + "SELECT line_id, reason FROM judged WHERE reason IS NOT NULL", "p2_loaded": READ + "SELECT line_id, utt, path FROM judged WHERE reason IS NULL"}
