@@ -98,7 +98,9 @@ def gcd(a: Column, b: Column) -> Column:
 
 
 def lcm(a: Column, b: Column) -> Column:
-    return (F.abs(a * b) / gcd(a, b)).cast("bigint")
+    """NM17: 0 if either is 0."""
+    g = gcd(a, b)
+    return F.when((a == 0) | (b == 0), F.lit(0).cast("bigint")).otherwise((F.abs(a) / g).cast("bigint") * F.abs(b).cast("bigint"))
 
 
 def argmax(a: Column) -> Column:

@@ -65,7 +65,7 @@ _add("prj2_path_pieces", lambda t: t("result_message").select("msg_id", S.basena
 _add(
     "jn6_tolerance_join",
     lambda t: S.tolerance_join(t("lineitem").where("l_linenumber = 1").select("l_orderkey", F.col("l_partkey").cast("double").alias("start"), F.col("l_suppkey").cast("double").alias("end")).withColumn("rec", F.col("l_orderkey") % 50), t("lineitem").where("l_linenumber = 2").select(F.col("l_orderkey").alias("ord"), F.col("l_partkey").cast("double").alias("start"), F.col("l_suppkey").cast("double").alias("end")).withColumn("rec", F.col("ord") % 50), "rec").select("l_orderkey", "d_ord"),
-    "SELECT a.l_orderkey, min(b.l_orderkey) AS d_ord FROM lineitem a JOIN lineitem b ON a.l_linenumber = 1 AND b.l_linenumber = 2 AND a.l_orderkey % 50 = b.l_orderkey % 50 AND abs(a.l_partkey - b.l_partkey) < 3 AND abs(a.l_suppkey - b.l_suppkey) < 3 GROUP BY a.l_orderkey",
+    "SELECT l_orderkey, d_ord FROM (SELECT a.id, a.l_orderkey, min(b.l_orderkey) AS d_ord FROM (SELECT *, row_number() OVER () AS id FROM lineitem WHERE l_linenumber = 1) a JOIN lineitem b ON b.l_linenumber = 2 AND a.l_orderkey % 50 = b.l_orderkey % 50 AND abs(a.l_partkey - b.l_partkey) < 3 AND abs(a.l_suppkey - b.l_suppkey) < 3 GROUP BY a.id, a.l_orderkey)",
 )
 _SPANS = "SELECT msg_id, conn_id, CAST(timestamp AS BIGINT[][]) AS p FROM result_message WHERE mode {} AND regexp_full_match(timestamp, '\\[(\\[[0-9]+,[0-9]+\\],?)+\\]')"
 
