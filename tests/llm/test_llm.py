@@ -360,6 +360,43 @@ def test_subject_edges(spark, subject_model):
     assert subjects.features("L'orage 你好吗 12") == ["你好", "好吗", "你好吗", "l", "orage", "l orage"]
 
 
+COURT = [f"The judge ruled out the {a} of the {b}, which surprised everybody" for a in ("verdict", "appeal", "plea", "trial", "bail", "fine") for b in ("jury", "lawyer", "court")]
+CALL = "The number you have dialled is busy"
+
+
+def test_common_is_decided_on_the_whole_sentence(monkeypatch):
+    seen = []
+    weak = subjects.weak_labels
+    monkeypatch.setattr(subjects, "weak_labels", lambda words, *a: seen.extend(words) or weak(words, *a))
+    subjects.train([(i, f"{s}. {CALL}.", "law") for i, s in enumerate(COURT)], ["law", "sport"], None)
+    assert sorted(seen) == sorted(subjects.topic_words(s) for s in COURT)
+
+
+def test_announcement_is_cut_off_its_sentence():
+    common = {subjects.letters(CALL)}
+    assert subjects.parted(f"{COURT[0]} {CALL} 65", common) == [(COURT[0] + " ", True), (CALL + " 65", False)]
+    assert subjects.parted(f"{CALL}, {CALL}", common) == [(CALL + ", ", False), (CALL, False)]
+    assert subjects.parted(COURT[0], common) == [(COURT[0], True)] and subjects.parted(f"x{CALL}", common) == [(f"x{CALL}", True)]
+    assert subjects.parted("大门您拨打的电话正在通话中", {"您拨打的电话正在通话中"}) == [("大门", True), ("您拨打的电话正在通话中", False)]
+
+
+def test_common_sentences_count_texts_once(spark):
+    rows = [(i, f"{s}. {CALL}.") for i, s in enumerate(COURT)] + [(100 + i, "A copy is said again and again." + "\u200b" * (i % 2)) for i in range(20)] + [(200, None), (201, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert subjects.common_sentences(df, None) == {subjects.digest(subjects.letters(CALL))}
+    assert subjects.common_sentences(df.where("doc_id < 0"), None) == set()
+    assert len(sentences.draw_texts(df, 100)) == len(COURT) + 3  # copies that only look the same, and the empty text, differ
+
+
+def test_copies_train_once(monkeypatch):
+    seen = []
+    fit = linear.fit
+    monkeypatch.setattr(linear, "fit", lambda ptr, *a, **k: seen.append(len(ptr) - 1) or fit(ptr, *a, **k))
+    rows = [(i, "The judge ruled out the verdict.", "law" if i % 2 else None) for i in range(40)]
+    subjects.train(rows, ["law", "sport"], None)
+    assert seen == [1]
+
+
 def test_queries_run(spark, sf):
     from voxmill.llm import queries
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxmill.llm import linear
@@ -93,6 +93,25 @@ def split_sentences(text: str | None, boundaries: BoundaryModel | None = None) -
     return [s for p in parts if (s := p.strip()) and _HAS_LETTER.search(s)]
 
 
+def draw_texts(documents: DataFrame, most: int, part: str | None = None, id_col: str = "doc_id", text_col: str = "text", apart: tuple[str, ...] = ()) -> list[tuple]:
+    """(id, text, part) of at most ``most`` documents of distinct texts, those with the least hash of the id.
+
+    Of the copies of a text (that agree in the columns ``apart`` too) only the first counts. With ``part``, a column, each of its values gets the same number of
+    texts, as far as it has them; the places left over go to the others evenly. Only hashes and ids are shuffled.
+    """
+    copy, at = F.xxhash64(text_col, *apart).alias("copy"), F.xxhash64(id_col).alias("at")
+    rows = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), copy, at, (F.col(part) if part else F.lit("")).alias("part"))
+    first = rows.groupBy("copy").agg(F.min(F.struct("at", "id", "part")).alias("f")).select("copy", "f.*")
+    if part:
+        turn = F.row_number().over(Window.partitionBy("part").orderBy("at", "id"))
+        first = first.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("turn", "at", "id")
+    else:
+        first = first.orderBy("at", "id")
+    texts = documents.select(F.col(id_col).alias("id"), copy, F.col(text_col).alias("text"))
+    got = texts.join(F.broadcast(first.limit(most)), ["id", "copy"]).select("at", "id", "text", "part").collect()
+    return [(r["id"], r["text"], r["part"]) for r in sorted(set(got), key=lambda r: (r["at"], r["id"], r["text"]))]
+
+
 def learn_boundaries(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 2500) -> BoundaryModel:
     """A boundary model from at most ``most`` punctuated documents, those with the least hash of the id."""
     rows = documents.where(F.col(text_col).rlike("[.!?。！？].*[.!?。！？]")).orderBy(F.xxhash64(id_col), id_col).limit(most).select(text_col).collect()

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -12,14 +13,16 @@ from pyspark.sql import functions as F
 
 from voxmill.llm import linear
 from voxmill.llm.language import train_profiles
-from voxmill.llm.sentences import UNIT, BoundaryModel, learn_boundaries, split_sentences
-from voxmill.session import spread
+from voxmill.llm.sentences import UNIT, BoundaryModel, draw_texts, learn_boundaries, split_sentences
+from voxmill.session import checkpoint_dir, spread
 
 BITS = 18
 #: How likely a sentence is about no subject before its words are read, in weak labelling.
 NONE = 0.55
-#: A sentence that so many documents of the training sample share is no example of a subject.
-COMMON = 6
+#: A sentence that this share of all distinct texts say, and so many at least, is no example of a subject.
+COMMON_SHARE, COMMON = 0.001, 6
+#: Shorter sentences, in letters, are never taken as common.
+SHORT = 8
 
 
 def features(sentence: str) -> list[str]:
@@ -52,6 +55,41 @@ def topic_words(sentence: str) -> list[str]:
     return [f for f in features(sentence) if (len(f) == 2 if "㐀" <= f[0] <= "鿿" else " " not in f)]
 
 
+def letters(text: str) -> str:
+    """A text's letters in lower case, by which texts and sentences count as the same."""
+    return "".join(c.lower() for c in text if c.isalpha())
+
+
+def digest(key: str) -> int:
+    return int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def least_common(texts: int) -> float:
+    """How many of so many distinct texts say a common sentence."""
+    return max(COMMON, COMMON_SHARE * texts)
+
+
+def parted(sentence: str, common: Collection[str]) -> list[tuple[str, bool]]:
+    """(part, whether it is the sentence's own) in order: whole common sentences at the end are cut off.
+
+    Where no mark parts an announcement from the sentence before it, that sentence still is an example of its own.
+    """
+    sizes, out = sorted({len(c) for c in common}, reverse=True), []
+    key = letters(sentence)
+    while n := next((n for n in sizes if key[-n:] in common and len(key) >= n), 0):
+        at, seen = len(sentence), 0
+        while seen < n:
+            at -= 1
+            seen += len(letters(sentence[at]))
+        # Not inside a word; Chinese sets no blanks.
+        if at and sentence[at - 1].isalpha() and not "㐀" <= sentence[at] <= "鿿":
+            break
+        out.append((sentence[at:], False))
+        sentence = sentence[:at]
+        key = letters(sentence)
+    return ([(sentence, True)] if key else []) + out[::-1]
+
+
 def ending(sentence: str) -> str:
     """The last 25 letters, by which sentences count as the same in training; loops vary by a filler or number."""
     return "".join(c for c in sentence.lower() if c.isalpha())[-25:]
@@ -140,26 +178,34 @@ def weak_labels(words: list[list[str]], doc: np.ndarray, label: np.ndarray, grou
     return out
 
 
-def train(sample: list[tuple[int, str, str | None]], subjects: list[str], boundaries: BoundaryModel | None, language=None) -> SubjectModel:
+def train(sample: list[tuple[int, str, str | None]], subjects: list[str], boundaries: BoundaryModel | None, language=None, common: Collection[int] | None = None) -> SubjectModel:
     """A model from (doc_id, text, subject or None).
 
     A document's label says little of one sentence: it may be small talk, about a second subject, or the label may be
     wrong. weak_labels() spreads the labels to the sentences, of documents without a label too; on these the
     one-versus-rest classifiers are trained. Thresholds are chosen on a fifth of the documents kept out of the training.
-    ``language`` gives a sentence's language; without it all sentences form one group.
+    ``language`` gives a sentence's language; without it all sentences form one group. ``common`` holds the digests of
+    sentences that many documents say; without it they are counted in the sample. Copies of a text train once a label.
     """
     k, index = len(subjects), {s: i for i, s in enumerate(subjects)}
-    docs = [(said_once(split_sentences(t, boundaries)), index.get(s, -1)) for _, t, s in sorted(sample, key=lambda x: (x[0], x[2] or ""))]
-    docs = [x for x in docs if x[0]]
+    texts: dict[tuple[str, int], list[str]] = {}
+    for _, t, s in sorted(sample, key=lambda x: (x[0], x[2] or "")):
+        if ss := split_sentences(t, boundaries):
+            texts.setdefault(("".join(map(letters, ss)), index.get(s, -1)), ss)
+    labelled = {key for key, c in texts if c >= 0}
+    docs = [(ss, c) for (key, c), ss in texts.items() if c >= 0 or key not in labelled]
     if not any(c >= 0 for _, c in docs):
         return SubjectModel(subjects, linear.OneVersusRest(np.zeros((1 << BITS, k), dtype=np.float32), np.full(k, -9, dtype=np.float32)), np.full(k, 0.5), boundaries)
-    sentences = [s for ss, _ in docs for s in ss]
-    doc = np.repeat(np.arange(len(docs)), [len(ss) for ss, _ in docs])
-    label = np.array([c for _, c in docs])[doc]
     # What many documents say word for word (announcements, greetings) tells no document's subject: examples of none.
-    # Where no mark parts it from the sentence before, its end gives it away.
-    common = tuple(e for e, n in Counter(map(ending, sentences)).items() if n >= COMMON and len(e) >= 8)
-    own = np.array([not ending(s).endswith(common) for s in sentences])
+    if common is None:
+        distinct = {tuple(ss) for ss, _ in docs}
+        said = Counter(digest(x) for ss in distinct for x in set(map(letters, ss)))
+        common = {x for x, n in said.items() if n >= least_common(len(distinct))}
+    announced = {x for ss, _ in docs for x in map(letters, ss) if len(x) >= SHORT and digest(x) in common}
+    parts = [[p for s in said_once(ss) for p in parted(s, announced)] for ss, _ in docs]
+    sentences, own = [s for ps in parts for s, _ in ps], np.array([o for ps in parts for _, o in ps])
+    doc = np.repeat(np.arange(len(docs)), [len(ps) for ps in parts])
+    label = np.array([c for _, c in docs])[doc]
     group = np.array([(language(s) if language else 0) if o else -1 for s, o in zip(sentences, own)])
     y = np.zeros((len(sentences), k), dtype=np.float32)
     if own.any():
@@ -185,19 +231,48 @@ def train(sample: list[tuple[int, str, str | None]], subjects: list[str], bounda
     return SubjectModel(subjects, final, thresholds, boundaries)
 
 
+def common_sentences(documents: DataFrame, boundaries: BoundaryModel | None) -> set[int]:
+    """Digests of the sentences that many distinct texts of all documents say; copies of a text count once.
+
+    One pass over the whole texts; only pairs of digests are shuffled. Those collected are few, as a text has few sentences.
+    """
+    held = documents.sparkSession.sparkContext.broadcast(boundaries)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = []
+            for t in pdf["text"]:
+                keys = [letters(s) for s in split_sentences(t, held.value)]
+                if keys:
+                    copy = digest("".join(keys))
+                    got += [(copy, None), *((copy, digest(x)) for x in {x for x in keys if len(x) >= SHORT})]
+            yield pd.DataFrame({"copy": pd.array([a for a, _ in got], dtype="Int64"), "said": pd.array([b for _, b in got], dtype="Int64")})
+
+    pairs = spread(documents.where("text is not null").select("text")).mapInPandas(run, "copy bigint, said bigint")
+    checkpoint_dir(documents.sparkSession)
+    # The row of no sentence counts the texts.
+    counts = pairs.distinct().groupBy("said").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON).checkpoint()
+    texts = counts.where("said is null").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    return {r[0] for r in counts.where(F.col("said").isNotNull() & (F.col("n") >= least_common(texts))).select("said").collect()}
+
+
 def learn_subjects(documents: DataFrame, seed: DataFrame, areas: DataFrame, most: int = 6000, most_labelled: int = 4000) -> SubjectModel:
-    """A model from at most ``most_labelled`` hand-labelled documents and others to make up ``most`` (least hashes of the id).
+    """A model from at most ``most_labelled`` hand-labelled documents and others to make up ``most`` (least hashes of the id),
+    all of distinct texts.
 
     Sentences are grouped by language, read by profiles trained in the same way as those of language identification.
     """
     subjects = sorted(r[0] for r in areas.select("subject").distinct().collect())
-    known = seed.where(F.col("subject").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id", "subject").limit(most_labelled).select("doc_id", "subject")
-    rows = [tuple(r) for r in documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").collect()]
-    held = {r[0] for r in rows}
-    more = documents.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max(0, most - len(rows))).select("doc_id", "text").collect()
+    known = seed.where(F.col("subject").isNotNull()).select("doc_id", "subject").distinct()
+    labelled = documents.select("doc_id", "text").join(known, "doc_id")
+    rows = draw_texts(labelled.withColumn("key", F.struct("doc_id", "subject")), most_labelled, id_col="key", apart=("subject",))
+    rows = [(key["doc_id"], text, key["subject"]) for key, text, _ in rows]
+    held = {r[1] for r in rows}
+    more = [r for r in draw_texts(documents, most) if r[1] not in held][: max(0, most - len(rows))]
     profiles = train_profiles(documents, 1500)
-    rows += [(r[0], r[1], None) for r in more if r[0] not in held]
-    return train(rows, subjects, learn_boundaries(documents), lambda s: profiles.best(s)[0])
+    rows += [(i, text, None) for i, text, _ in more]
+    boundaries = learn_boundaries(documents)
+    return train(rows, subjects, boundaries, lambda s: profiles.best(s)[0], common_sentences(documents, boundaries))
 
 
 def subject_shares(documents: DataFrame, model: SubjectModel) -> DataFrame:
