@@ -180,6 +180,18 @@ def test_held_out_sentences(small, models):
     assert right / total > 0.95  # some labels are wrong on purpose
 
 
+def test_learning_data_is_drawn_evenly(spark, monkeypatch):
+    rows = [(i, f"One more copy. {SAID['en']}", "en", "en/a.wav") for i in range(500)] + [(1000 + i, f"Number {i}. {SAID['en']}", "en", "en/a.wav") for i in range(300)] + [(2000 + i, f"{i}. Mal. {SAID['es']}", "es", "es/a.wav") for i in range(20)] + [(3000 + i, f"{i}. Mal. {SAID['de']}", "de", "de/a.wav") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, wav_name string")
+    drawn = []
+    monkeypatch.setattr(language, "profiles_of", lambda x: drawn.append([code for code, _ in x]))
+    language.train_profiles(df, 120)
+    assert {c: drawn[0].count(c) for c in ("en", "es", "de")} == {"en": 50, "es": 20, "de": 50}
+    monkeypatch.setattr(sentences.BoundaryModel, "train", staticmethod(lambda x: drawn.append(x)))
+    sentences.learn_boundaries(df, most=120)
+    assert len(set(drawn[1])) == len(drawn[1]) == 120 and sum(SAID["es"] in t for t in drawn[1]) == 20 and sum(SAID["de"] in t for t in drawn[1]) == 50
+
+
 def test_wrong_labels_edges(spark, small, models):
     rows = [(1, SAID["en"], "en-US", "en/a.wav"), (2, SAID["en"], "de", None), (3, SAID["en"], None, None), (4, SAID["en"] + SAID["de"], "en", None), (5, "", "en", None), (6, None, "en", None), (7, "12 % …", "en", None), (8, " ".join([SAID["en"]] * 9) + " " + SAID["fr"], " EN_gb", None), (8, SAID["zh"] * 4000, "zh", None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, wav_name string").withColumn("segments", F.lit(1)).withColumn("code", F.lit("x"))

@@ -11,10 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.sentences import BoundaryModel, learn_boundaries, split_sentences
+from voxmill.llm.sentences import LANGUAGES, BoundaryModel, draw_texts, label_code, learn_boundaries, split_sentences
 from voxmill.session import spread
 
-LANGUAGES = ("en", "zh", "de", "fr", "es")
 PROFILE_SIZE = 2000
 _NOT_TEXT = re.compile(r"[\W\d_]+")
 _ASIDE = re.compile(r"\([^()]*\)")
@@ -100,21 +99,16 @@ class RankProfiles:
         return int(order[0]), float(min(1.0, (d[order[1]] - d[order[0]]) / max(d[order[1]], 1e-6) * 2)), d
 
 
-def label_code(label: Column) -> Column:
-    """The language that a label names: its part before any '-' or '_', without outer blanks, in lower case."""
-    return F.lower(F.trim(F.regexp_extract(label, r"^([^-_]*)", 1)))
-
-
-def train_profiles(documents: DataFrame, most: int = 1500) -> RankProfiles:
+def train_profiles(documents: DataFrame, most: int = 3000) -> RankProfiles:
     """Profiles from at most ``most`` documents whose label and folder name the same language (least hashes of the id).
 
+    Their texts are distinct and as many of each language, as far as it has them.
     The labels are unsure, so each sentence is then given to the nearest of these first profiles, and the profiles are
     counted again from the sentences. A language without labelled documents gets an empty profile.
     """
     code, folder = label_code(F.col("lang")), F.lower(F.substring_index("wav_name", "/", 1))
     agreed = documents.where((code == folder) & code.isin(*LANGUAGES)).select("doc_id", "text", code.alias("code"))
-    rows = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("code", "text").collect()
-    return profiles_of([(r[0], r[1]) for r in rows])
+    return profiles_of([(code, text) for _, text, code in draw_texts(agreed, most, "code")])
 
 
 def profiles_of(labelled: list[tuple[str, str]]) -> RankProfiles:
@@ -200,7 +194,7 @@ def document_languages(segments: DataFrame) -> DataFrame:
     return rows.select("doc_id", "code", F.col("p.lang").alias("lang"), F.col("p.n").alias("sentences"), (F.col("p.n") / F.col("total")).alias("share"), (F.col("p.c") / F.col("p.n")).alias("confidence"))
 
 
-def wrong_labels(documents: DataFrame, share: float = 0.2, most_labelled: int = 1500) -> DataFrame:
+def wrong_labels(documents: DataFrame, share: float = 0.2, most_labelled: int = 3000) -> DataFrame:
     """(doc_id, found_lang): the languages with at least ``share`` of a document's sentences, of the documents whose label is
     missing, wrong or names only one of several. Documents without sentences are not reported."""
     segments = language_segments(documents, train_profiles(documents, most_labelled), learn_boundaries(documents))

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxmill.llm import linear
 from voxmill.llm.unicode_tables import folded
 
+LANGUAGES = ("en", "zh", "de", "fr", "es")
 TURN = re.compile(r"\bspk\d+\b[ \t]*:?", re.I)
 TAG = re.compile(r"<[A-Za-z]+>|\[[A-Za-z]+\]")
 #: Up to a mark that ends a sentence or a line; a full stop between digits or before a lower-case letter ends none.
@@ -112,7 +113,16 @@ def draw_texts(documents: DataFrame, most: int, part: str | None = None, id_col:
     return [(r["id"], r["text"], r["part"]) for r in sorted(set(got), key=lambda r: (r["at"], r["id"], r["text"]))]
 
 
-def learn_boundaries(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 2500) -> BoundaryModel:
-    """A boundary model from at most ``most`` punctuated documents, those with the least hash of the id."""
-    rows = documents.where(F.col(text_col).rlike("[.!?。！？].*[.!?。！？]")).orderBy(F.xxhash64(id_col), id_col).limit(most).select(text_col).collect()
-    return BoundaryModel.train([r[0] for r in rows])
+def label_code(label: Column) -> Column:
+    """The language that a label names: its part before any '-' or '_', without outer blanks, in lower case."""
+    return F.lower(F.trim(F.regexp_extract(label, r"^([^-_]*)", 1)))
+
+
+def learn_boundaries(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 4000, lang_col: str = "lang") -> BoundaryModel:
+    """A boundary model from at most ``most`` punctuated documents of distinct texts, those with the least hash of the id.
+
+    Each language that a label names gets the same number of texts; documents without such a label count as one more.
+    """
+    code = label_code(F.col(lang_col))
+    rows = documents.where(F.col(text_col).rlike("[.!?。！？].*[.!?。！？]")).select(id_col, text_col, F.when(code.isin(*LANGUAGES), code).otherwise("").alias("code"))
+    return BoundaryModel.train([text for _, text, _ in draw_texts(rows, most, "code", id_col, text_col)])

@@ -269,7 +269,7 @@ def learn_subjects(documents: DataFrame, seed: DataFrame, areas: DataFrame, most
     rows = [(key["doc_id"], text, key["subject"]) for key, text, _ in rows]
     held = {r[1] for r in rows}
     more = [r for r in draw_texts(documents, most) if r[1] not in held][: max(0, most - len(rows))]
-    profiles = train_profiles(documents, 1500)
+    profiles = train_profiles(documents)
     rows += [(i, text, None) for i, text, _ in more]
     boundaries = learn_boundaries(documents)
     return train(rows, subjects, boundaries, lambda s: profiles.best(s)[0], common_sentences(documents, boundaries))
