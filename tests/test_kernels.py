@@ -238,3 +238,10 @@ def test_speaker_split(counts, parts):
 def test_speaker_split_needs_speakers():
     with pytest.raises(ValueError):
         K.split_by_speaker([("a", 1)], 2)
+
+
+@pytest.mark.parametrize("n", [0, 1, 99, 900, 901, 1000, 1001, 5000, 33900])
+def test_hop_bounds_equal_the_windows(n):
+    clip = np.arange(n)
+    repeated = np.tile(clip, 1024)
+    assert [w.tolist() for w in D.hop_windows(clip, rate=100)] == [repeated[a:b].tolist() for a, b in D.hop_bounds(n, rate=100)]

@@ -274,3 +274,13 @@ def test_table_vad_equals_kernel(spark):
 def test_model_plug_point(spark):
     got = score_with(spark.range(5), lambda: lambda pdf: pdf.assign(score=pdf["id"] * 2.0), "id bigint, score double").agg(F.sum("score")).collect()[0][0]
     assert got == 20.0
+
+
+def test_windows_of_long_recordings(spark, tmp_path):
+    from voxmill.plans import kernel_queries
+
+    spark.createDataFrame([("a", 339.0), ("b", 99.5), ("c", 0.5), ("d", 0.0)], "utt string, dur double").write.parquet(str(tmp_path / "wav2dur.parquet"))
+    got = {r["utt"]: r["n"] for r in kernel_queries.queries()["ag15_hop_windows"](spark, str(tmp_path)).collect()}
+    # A window that rounding makes a sample short is left out, as in the reference.
+    whole = lambda hops: sum(int((k + 9.01) * 16000) - k * 16000 >= int(9.01 * 16000) for k in range(hops))
+    assert got == {"a": whole(330), "b": whole(90), "c": whole(7)}  # half a second is doubled to 16 s

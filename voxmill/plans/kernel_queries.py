@@ -42,7 +42,7 @@ _add("nm10_position_code", lambda t: _vectors(t).select("vec_id", F.round(F.aggr
 _add("nm8_reflect", lambda t: _vectors(t).select("vec_id", F.round(F.get(_udf(lambda v: decode.reflect_pad(v, 3, 3).tolist(), _DOUBLES)("v"), F.lit(0)), 6).alias("first")), "SELECT vec_id, round(CAST(embedding[4] AS DOUBLE), 6) AS first FROM embeddings")
 _add("nm9_mel", lambda t: _vectors(t).select("vec_id", F.size(_udf(lambda v: decode.mel_energies(np.tile(np.asarray(v), 20), bands=20).ravel().tolist(), _DOUBLES)("v")).alias("n")))
 _add("nm14_context_score", lambda t: t("transcripts").where("text is not null").select("utt", F.round(_context_udf()("text"), 6).alias("score")))
-_add("ag15_hop_windows", lambda t: t("wav2dur").where("dur > 0 and dur < 100").select("utt", "dur", _udf(lambda d: len(decode.hop_windows(np.zeros(int(d * 100)), rate=100)), Y.IntegerType())("dur").alias("n")))
+_add("ag15_hop_windows", lambda t: t("wav2dur").where("dur > 0").select("utt", "dur", _udf(lambda d: len(decode.hop_bounds(int(d * 16000))), Y.IntegerType())("dur").alias("n")))
 _add("snk12_src7_wav", lambda t: _vectors(t).select("vec_id", _udf(lambda v: R.encode_wav(np.asarray(v) / 10, 8000), Y.BinaryType())("v").alias("wav"), "v").select("vec_id", F.octet_length("wav").alias("bytes"), F.size(_udf(lambda b: R.decode_wav(bytes(b))[0].astype(float).tolist(), _DOUBLES)("wav")).alias("n")), "SELECT vec_id, CAST(44 + 2 * len(embedding) AS INT) AS bytes, len(embedding) AS n FROM embeddings")
 _add("tk18_spaced", lambda t: t("transcripts").where("text is not null").select("utt", _udf(lambda s: decode.spaced([w for w in s.split(" ") if w]), Y.StringType())("text").alias("text")))
 _add("tn11_punctuated", lambda t: t("transcripts").where("text is not null").select("utt", _udf(lambda s: decode.punctuate(s.split(), lambda ws: [decode.COMMA if len(w) > 8 else decode.NONE for w in ws])[0], Y.StringType())("text").alias("text")))
