@@ -284,3 +284,12 @@ def test_windows_of_long_recordings(spark, tmp_path):
     # A window that rounding makes a sample short is left out, as in the reference.
     whole = lambda hops: sum(int((k + 9.01) * 16000) - k * 16000 >= int(9.01 * 16000) for k in range(hops))
     assert got == {"a": whole(330), "b": whole(90), "c": whole(7)}  # half a second is doubled to 16 s
+
+
+def test_declared_alignment_of_all_pairs(spark, tmp_path):
+    from voxmill.plans import align_queries
+
+    long = " ".join("abcdefghijklmnopqrst")
+    spark.createDataFrame([("a", long), ("a", long + " z"), ("b", "uh"), ("b", "x y"), ("c", "uh")], "utt string, text string").write.parquet(str(tmp_path / "transcripts.parquet"))
+    got = {r["utt"]: (r["dist"], r["surplus"]) for r in align_queries.queries()["ed5_declared_all"](spark, str(tmp_path)).collect()}
+    assert got == {"a": (1, 1), "b": (2, 2), "c": (0, 0)}

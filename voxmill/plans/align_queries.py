@@ -9,6 +9,7 @@ from voxmill.functions import text as T
 from voxmill.operators import align as A
 from voxmill.operators import keyed as K
 from voxmill.plans.registry import Registry
+from voxmill.session import spread
 
 _R = Registry()
 queries, oracle_sql = _R.queries, _R.oracle_sql
@@ -55,6 +56,7 @@ _add("align_filter", align_filter)
 _add("ed5_ed6_wer", lambda t: _scored(t).select("utt", "n", (F.col("s") + F.col("d") + F.col("i")).alias("dist"), (F.col("c") + F.col("s") + F.col("i")).alias("m"), F.round("wer", 4).alias("wer")), _PAIRS + "SELECT utt, n, dist, m, round(CASE WHEN n > 0 THEN dist * 100.0 / n ELSE 0.0 END, 4) AS wer FROM d")
 _add("ed5_invariants", lambda t: _scored(t).where("n = c + s + d").select("utt", (F.col("d") - F.col("i")).alias("surplus"), F.size("lab").alias("columns"), (F.col("c") + F.col("s") + F.col("d") + F.col("i")).alias("ops")).where("columns = ops").select("utt", "surplus"), _PAIRS + "SELECT utt, n - m AS surplus FROM d")
 _add("ed5_declared", lambda t: _declared(t), _PAIRS + "SELECT utt, dist, n - m AS surplus FROM d WHERE n <= 12 AND m <= 12 AND n > 0")
+_add("ed5_declared_all", lambda t: _declared_all(t), _PAIRS + "SELECT utt, dist, n - m AS surplus FROM d")
 _add("ed5_distance", lambda t: _distances(t), _PAIRS + "SELECT utt, dist FROM d")
 _add("ed7_printed", lambda t: _scored(t).where("wer > 0").select("utt", A.print_alignment(60)("lab", "rec").alias("shown")))
 _add("flt2_wer_gate", lambda t: _scored(t).where(F.round("wer", 2) <= 30).select("utt"), _PAIRS + "SELECT utt FROM d WHERE round(CASE WHEN n > 0 THEN dist * 100.0 / n ELSE 0.0 END, 2) <= 30")
@@ -77,7 +79,16 @@ def _tokens_of_pairs(t) -> DataFrame:
 
 def _declared(t) -> DataFrame:
     short = _tokens_of_pairs(t).where((F.size("lab") <= 12) & (F.size("rec") <= 12) & (F.size("lab") > 0))
-    return short.select("utt", A.align_declared(F.col("lab"), F.col("rec")).alias("x")).select("utt", "x.dist", (F.col("x.d") - F.col("x.i")).alias("surplus"))
+    return _declared_counters(short)
+
+
+def _declared_all(t) -> DataFrame:
+    """ed5_declared over every pair, the long and the empty too."""
+    return _declared_counters(spread(_tokens_of_pairs(t)))
+
+
+def _declared_counters(pairs: DataFrame) -> DataFrame:
+    return pairs.select("utt", A.align_declared(F.col("lab"), F.col("rec")).alias("x")).select("utt", "x.dist", (F.col("x.d") - F.col("x.i")).alias("surplus"))
 
 
 def _distances(t) -> DataFrame:
