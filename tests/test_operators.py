@@ -293,3 +293,34 @@ def test_declared_alignment_of_all_pairs(spark, tmp_path):
     spark.createDataFrame([("a", long), ("a", long + " z"), ("b", "uh"), ("b", "x y"), ("c", "uh")], "utt string, text string").write.parquet(str(tmp_path / "transcripts.parquet"))
     got = {r["utt"]: (r["dist"], r["surplus"]) for r in align_queries.queries()["ed5_declared_all"](spark, str(tmp_path)).collect()}
     assert got == {"a": (1, 1), "b": (2, 2), "c": (0, 0)}
+
+
+@pytest.fixture()
+def many_partitions(spark):
+    """Exchanges of many small partitions, which the adaptive planner coalesces as it likes."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    yield spark
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_row_numbers_over_many_partitions(many_partitions):
+    n, parts = 300_000, 7
+    wide = many_partitions.range(n).select((F.col("id") * 7919 % n).alias("id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 3).alias("filler"))
+    got = K.row_numbers(wide, [F.col("id")], "n", "all")
+    assert got.agg(F.count("*"), F.min("n"), F.max("n"), F.countDistinct("n"), F.sum((F.col("n") != F.col("id")).cast("int")), F.min("all"), F.max("all")).collect()[0] == (n, 0, n - 1, n, 0, n, n)
+    sizes = sorted(r["count"] for r in K.equal_split(wide, parts, [F.col("id")]).groupBy("part").count().collect())
+    assert sum(sizes) == n and sizes[-1] - sizes[0] <= 1 and len(sizes) == parts
+    tied = K.row_numbers(wide.withColumn("k", F.col("id") % 3), [F.col("k")], "n")  # a third of the rows ties
+    assert tied.agg(F.count("*"), F.countDistinct("n"), F.max("n")).collect()[0] == (n, n, n - 1)
+
+
+def test_lexicon_arcs_over_many_partitions(many_partitions):
+    lexicon = many_partitions.range(60_000).select(F.col("id").alias("line_no"), F.concat(F.lit("w"), "id").alias("word"), F.lit("a b c").alias("pron"))
+    arcs = L.lexicon_arcs(lexicon)
+    assert arcs.count() == 180_000
+    states = arcs.where("dst <> 0").agg(F.count("*"), F.countDistinct("dst"), F.min("dst"), F.max("dst")).collect()[0]
+    assert states == (120_000, 120_000, 1, 120_000)
+    assert arcs.where("k = 0 and dst <> line_no * 2 + 1").count() == 0

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxmill.session import checkpoint_dir
+
 
 def filter_by_keys(df: DataFrame, ids: DataFrame, key: str, id_col: str | None = None, exclude: bool = False) -> DataFrame:
     """JN1, JN2, SET4, FLT6: rows of df whose key is (not) among the ids. Repeated ids change nothing; null keys match none."""
@@ -80,16 +82,23 @@ def equal_split(df: DataFrame, parts: int, order: list[Column]) -> DataFrame:
 
 
 def row_numbers(df: DataFrame, order: list[Column], number: str = "n", total: str | None = None) -> DataFrame:
-    """df with each row's place (from 0) in a total order, made in parallel. Ties must be broken by the order's last column."""
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    placed = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
+    """df with each row's place (from 0) in a total order, made in parallel. Rows that tie in the whole order take their places
+    in any order.
+
+    Rows are range-partitioned and sorted once, and written with their partition and place to the shared folder. Counts
+    and places are both read from there: were they two branches of a plan, each would sample its own ranges and be
+    coalesced in its own way. Neither a retried task nor a lost executor can change what is written.
+    """
+    checkpoint_dir(df.sparkSession)
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))  # a row a partition
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))  # a row a partition
     offsets = counts.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy()).alias("_all"))
-    out = placed.join(F.broadcast(offsets), "_p").withColumn(number, F.col("_k") + F.col("_before"))
+    out = placed.withColumn("_p", part).join(F.broadcast(offsets), "_p").withColumn(number, place + F.col("_before"))
     if total:
         out = out.withColumn(total, F.col("_all"))
-    return out.drop("_p", "_k", "_before", "_all")
+    return out.drop("_p", "_at", "_before", "_all")
 
 
 def split_by_speaker(counts: list[tuple[str, int]], parts: int) -> list[tuple[str, int]]:

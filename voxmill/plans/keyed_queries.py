@@ -50,6 +50,7 @@ _add("ag14_rtf", lambda t: S.rtf(t("events").select((F.col("user_id") % 8).alias
 _add("ag17_joined_text", lambda t: S.joined_text(t("result_message").where("mode = 'offline'"), ["conn_id"], F.struct("seq_no", "msg_id"), blank=True), "SELECT conn_id, string_agg(text, ' ' ORDER BY seq_no, msg_id) AS text FROM result_message WHERE mode = 'offline' AND text IS NOT NULL GROUP BY conn_id")
 _add("ag18_validation_split", lambda t: K.validation_split(t("utt2spk"), "utt", 0.05))
 _add("wn1_equal_split", lambda t: K.equal_split(t("orders").select("o_orderkey"), 7, [F.col("o_orderkey")]), "SELECT o_orderkey, ntile(7) OVER (ORDER BY o_orderkey) AS part FROM orders")
+_add("wn1_equal_split_wide", lambda t: K.equal_split(t("lineitem"), 7, [F.col(c) for c in t("lineitem").columns]), "SELECT *, ntile(7) OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS part FROM lineitem")
 _add("wn2_split_part", lambda t: K.equal_split(t("wav_scp_raw").select("line_id"), 5, [F.col("line_id")]).where("part = 3").select("line_id"), "SELECT line_id FROM (SELECT line_id, ntile(5) OVER (ORDER BY line_id) AS part FROM wav_scp_raw) WHERE part = 3")
 _add("wn3_speaker_split", lambda t: K.speaker_split(t("utt2spk").where("spk is not null").withColumn("line_no", F.col("utt")), 4).groupBy("part").agg(F.count(F.lit(1)).alias("utts"), F.countDistinct("spk").alias("speakers")))
 _add("wn4_segment_numbers", lambda t: S.numbered_segments(t("result_message").where("mode = 'offline'").select("msg_id", "conn_id", "wav_name", "seq_no"), ["conn_id", "wav_name"], [F.col("seq_no"), F.col("msg_id")]), "SELECT msg_id, conn_id, wav_name, seq_no, row_number() OVER (PARTITION BY conn_id, wav_name ORDER BY seq_no NULLS FIRST, msg_id) - 1 AS segment_idx FROM result_message WHERE mode = 'offline'")

@@ -28,13 +28,16 @@ def build_session(app: str = "voxmill", cores: int | None = None, shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineage; one of our own only where none is set (tests)."""
+    """The cluster's shared folder for cut lineage. A local session without one gets a folder of its own; a cluster must name it,
+    as no executor can read what another wrote to its own disk."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
         held = sc._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="voxmill-checkpoint-")
     sc.setCheckpointDir(found)
     return found
