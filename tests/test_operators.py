@@ -324,3 +324,8 @@ def test_lexicon_arcs_over_many_partitions(many_partitions):
     states = arcs.where("dst <> 0").agg(F.count("*"), F.countDistinct("dst"), F.min("dst"), F.max("dst")).collect()[0]
     assert states == (120_000, 120_000, 1, 120_000)
     assert arcs.where("k = 0 and dst <> line_no * 2 + 1").count() == 0
+
+
+def test_lines_without_an_id(spark):
+    lines = spark.createDataFrame([(None, "a\t/a.wav"), (None, "bad"), (1, "b\t/b.wav"), (2, 'x"y')], "line_id bigint, audio_in string")
+    assert sorted((r["line_id"] or 0, r["reason"]) for r in rejects.failing_lines(lines).collect()) == [(0, "columns"), (2, "quoting")]

@@ -53,11 +53,10 @@ def reason(line: Column) -> Column:
 def failing_lines(lines: DataFrame, id_col: str = "line_id", line_col: str = "audio_in") -> DataFrame:
     """(id, reason): the lines that strict_load() does not load, each once, with the first reason that applies.
 
-    The lines are partitioned by their offset once; the load and the subtraction reuse that one exchange, and only the
-    remainder is diagnosed. Ids are unique offsets; a repeated id fails only if none of its rows loads. Other columns
-    of the input are ignored.
+    The strict load is subtracted from the offsets by an anti-join, which carries ids alone on its loaded side, and only
+    the remainder is diagnosed. Ids are unique offsets; a repeated id fails only if none of its rows loads. A line without
+    an id cannot be subtracted: it fails if it has a reason. Other columns of the input are ignored.
     """
-    placed = lines.select(F.col(id_col), F.col(line_col)).repartition(F.col(id_col))
-    loaded = strict_load(placed, id_col, line_col).select(F.col(id_col).alias("_loaded"))
-    rest = placed.join(loaded, F.col(id_col) == F.col("_loaded"), "left_anti")
-    return rest.select(id_col, reason(F.col(line_col)).alias("reason"))
+    loaded = strict_load(lines, id_col, line_col).select(F.col(id_col).alias("_loaded"))
+    rest = lines.select(F.col(id_col), F.col(line_col)).join(loaded, F.col(id_col) == F.col("_loaded"), "left_anti")
+    return rest.select(id_col, reason(F.col(line_col)).alias("reason")).where("reason is not null")
