@@ -68,8 +68,8 @@ def _code_points():
 @lru_cache(maxsize=1)
 def tables() -> dict:
     """decomposition: character -> its code points where they differ; compose: full canonical decomposition -> character;
-    pairs: two code points -> one; followers: characters that may join the one before (marks, vowel and final jamo); classes."""
-    decomposition, compose, pairs, followers, classes = {}, {}, {}, set(), {}
+    followers: characters that may join the one before (marks and what begins with one, vowel and final jamo); classes."""
+    decomposition, compose, followers, classes = {}, {}, set(), {}
     for ch in _code_points():
         cat = unicodedata.category(ch)
         if cat in ("Cn", "Co"):
@@ -88,11 +88,10 @@ def tables() -> dict:
                 if not 0xAC00 <= ord(ch) <= 0xD7A3:
                     pair = canonical.split()
                     if len(pair) == 2:
-                        a, b = (chr(int(x, 16)) for x in pair)
-                        pairs[a + b] = ch
-                        followers.add(b)
+                        followers.add(chr(int(pair[1], 16)))
+    followers |= {ch for ch, d in decomposition.items() if d and unicodedata.combining(d[0])}
     followers |= {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
-    return {"decomposition": decomposition, "compose": compose, "pairs": pairs, "followers": followers, "classes": classes}
+    return {"decomposition": decomposition, "compose": compose, "followers": followers, "classes": classes}
 
 
 def _is_stable(ch: str, d: str) -> bool:
@@ -135,4 +134,4 @@ def folded(text: str) -> str:
     """One string's consistent form, as the distributed operator gives it; for use inside other operators' Python workers."""
     if text.isascii():
         return text
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(_TRANSLATE)))
+    return unicodedata.normalize("NFC", text.translate(_TRANSLATE))

@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from voxmill.llm import unicode_tables as U
 from voxmill.session import checkpoint_dir
 
-#: A base and what follows it, in one piece. Longer pieces cannot be told from an attack by stacked accents; they still work.
-_ELEMENT = "array<struct<seg:int,ccc:int,j:int,cp:string>>"
+_ELEMENT = "array<struct<ccc:int,j:int,cp:string>>"
 
 
 @lru_cache(maxsize=1)
 def _patterns() -> tuple[str, str, str]:
-    """(a character outside the plain ranges, any that may need work, the cutter of a text into settled stretches and clusters).
+    """(a run of plain characters, any character that may need work, the cutter of a text into plain stretches and clusters).
 
-    A class of many ranges costs time for each character tested, so stretches are first tried against the few longest
-    ranges in which nothing changes.
+    A class of many ranges costs time for each range and character tested. So what is tested often is a few plain ranges
+    in which nothing changes, and the categories of marks and of characters without ink; only a mark, or a character that
+    the JVM's older Unicode does not know, is looked for in a list. A cluster is one character and what follows it.
     """
     changed, gone, followers = U.unsettled()
-    starters, tail = U.char_class(changed), U.char_class(gone | followers)
-    plain = U.char_class(chr(c) for a, b in _plain_ranges(changed | gone | followers) for c in range(a, b))
-    any_of = f"[{starters}{tail}]"
-    settled = f"(?:[{plain}](?=[{plain}])|[^{starters}{tail}](?![{tail}]))++"
-    return f"[^{plain}]", any_of, f"({settled}|[^{tail}]?[{tail}]*+)"
+    tail = gone | followers
+    plain = U.char_class(chr(c) for a, b in _plain_ranges(changed | tail) for c in range(a, b))
+    alone = U.char_class(c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "M" and c not in tail)
+    lettered = U.char_class(c for c in tail if unicodedata.category(c)[0] != "M" and unicodedata.category(c) != "Cf")
+    follows = rf"[\p{{M}}\p{{Cf}}{lettered}\p{{Cn}}&&[^{alone}]&&[\P{{Cn}}{U.char_class(tail)}]]"
+    return f"[{plain}]++", f"[{U.char_class(changed | tail)}]", rf"((?:[{plain}](?!{follows}))++|(?!{follows})[\s\S]{follows}*+|{follows}++)"
 
 
 def _plain_ranges(unsettled: frozenset, least: int = 60) -> list[tuple[int, int]]:
@@ -41,26 +45,21 @@ def _plain_ranges(unsettled: frozenset, least: int = 60) -> list[tuple[int, int]
 
 
 def _needs_work(text: Column) -> Column:
-    other, any_of, _ = _patterns()
-    return F.coalesce(F.when(text.rlike(other), text.rlike(any_of)).otherwise(F.lit(False)), F.lit(False))
+    plain, any_of, _ = _patterns()
+    rest = F.regexp_replace(text, plain, "")
+    # Of what is not plain each character is tested once.
+    return F.coalesce(F.when(rest != "", F.array_join(F.array_distinct(F.split(rest, "")), "").rlike(any_of)).otherwise(F.lit(False)), F.lit(False))
 
 
 def mapping_table(spark: SparkSession) -> DataFrame:
     """(ch, out): what each character that decomposes, vanishes or has a combining class becomes.
 
-    ``out`` lists the code points with ``seg`` (starters still to come within the character, negated), ``ccc`` (combining
-    class) and ``j`` (place). About 17,000 rows, fixed by the Unicode version.
+    ``out`` lists the code points with ``ccc`` (combining class) and ``j`` (place). About 17,000 rows, fixed by the Unicode version.
     """
     t = U.tables()
     rows = []
     for ch in sorted(t["decomposition"].keys() | t["classes"].keys()):
-        d = t["decomposition"].get(ch, ch)
-        klass = [t["classes"].get(c, 0) for c in d]
-        later, out = 0, []
-        for j in range(len(d) - 1, -1, -1):
-            out.append((-later, klass[j], j, d[j]))
-            later += klass[j] == 0
-        rows.append((ch, out[::-1]))
+        rows.append((ch, [(t["classes"].get(c, 0), j, c) for j, c in enumerate(t["decomposition"].get(ch, ch))]))
     return spark.createDataFrame(rows, f"ch string, out {_ELEMENT}")
 
 
@@ -69,56 +68,58 @@ def composition_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(U.tables()["compose"].items()), "cluster string, composed string")
 
 
-def _compose_rest(marks: Column) -> Column:
-    """Pairwise composition of ordered code points, for clusters that are not one character as a whole.
-
-    A mark joins the base unless a mark left standing before it has the same or a higher class.
+def single_table(spark: SparkSession) -> DataFrame:
+    """(one, form): the form of each character that changes where nothing follows it. About 6,000 rows, fixed."""
+    changed, gone, followers = U.unsettled()
+    return spark.createDataFrame([(c, U.folded(c)) for c in sorted(changed | gone | followers)], "one string, form string")
+
+
+@F.pandas_udf(StringType())
+def _compose_rest(ordered: pd.Series) -> pd.Series:
+    """Composition of ordered code points, for clusters that are not one character as a whole. Each distinct cluster comes here once."""
+    return ordered.map(lambda x: unicodedata.normalize("NFC", x))
+
+
+def cluster_forms(clusters: DataFrame) -> DataFrame:
+    """(cluster, form) of distinct clusters: exploded to code points, these mapped by a broadcast join, ordered and recomposed."""
+    spark = clusters.sparkSession
+    chars = clusters.select("cluster", F.posexplode(F.split("cluster", "")).alias("_k", "_ch"))
+    mapped = chars.join(F.broadcast(mapping_table(spark)), F.col("_ch") == F.col("ch"), "left")
+    itself = F.array(F.struct(F.lit(0).alias("ccc"), F.lit(0).alias("j"), F.col("_ch").alias("cp")))
+    parts = mapped.select("cluster", "_k", F.explode_outer(F.coalesce("out", itself)).alias("e"))
+    # After each code point of class 0 the marks follow by class, ties in order of place.
+    begun = Window.partitionBy("cluster").orderBy("_k", "e.j").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("_seg", F.sum(F.when(F.col("e.ccc") == 0, 1).otherwise(0)).over(begun))
+    element = F.when(F.col("e.cp").isNotNull(), F.struct("_seg", F.col("e.ccc").alias("ccc"), F.col("_k").alias("k"), F.col("e.j").alias("j"), F.col("e.cp").alias("cp")))
+    ordered = parts.groupBy("cluster").agg(F.sort_array(F.collect_list(element)).alias("_e"))
+    ordered = ordered.withColumn("_s", F.array_join(F.transform("_e", lambda e: e["cp"]), ""))
+    table = composition_table(spark).withColumnRenamed("cluster", "_whole")
+    whole = ordered.select("cluster", "_s").join(F.broadcast(table), F.col("_s") == F.col("_whole"), "left")
+    rest = F.when(F.col("composed").isNull() & (F.char_length("_s") > 1), F.col("_s")).otherwise("")
+    return whole.select("cluster", F.coalesce("composed", F.when(F.char_length("_s") > 1, _compose_rest(rest)).otherwise(F.col("_s"))).alias("form"))
+
+
+def _rebuilt(work: DataFrame, carried: list[str]) -> DataFrame:
+    """(carried..., _v): work's texts ``_t`` in their visible form; a null text gives an empty one.
+
+    One exchange by row. The forms of clusters are found once for each distinct cluster and joined back; those of one
+    character come from a fixed table. How many distinct clusters there are depends on the data, so that join is left to
+    the planner, which broadcasts it only if it turns out small; rows that need none of it are spread over all its keys.
     """
-    pairs = F.create_map(*[F.lit(x) for kv in sorted(U.tables()["pairs"].items()) for x in kv])
-    start = F.struct(F.lit("").alias("done"), F.lit("").alias("base"), F.lit("").alias("rest"), F.lit(-1).alias("last"))
-
-    def step(acc: Column, e: Column) -> Column:
-        joined = F.element_at(pairs, F.concat(acc["base"], e["cp"]))
-        free = (acc["base"] != "") & (acc["last"] < e["ccc"]) & ((e["ccc"] > 0) | (acc["rest"] == ""))
-        kept = F.struct(acc["done"].alias("done"), acc["base"].alias("base"), F.concat(acc["rest"], e["cp"]).alias("rest"), e["ccc"].alias("last"))
-        fresh = F.struct(F.concat(acc["done"], acc["base"], acc["rest"]).alias("done"), e["cp"].alias("base"), F.lit("").alias("rest"), F.lit(-1).alias("last"))
-        into = F.struct(acc["done"].alias("done"), joined.alias("base"), acc["rest"].alias("rest"), acc["last"].alias("last"))
-        return F.when(free & joined.isNotNull(), into).when(e["ccc"] == 0, fresh).otherwise(kept)
-
-    return F.aggregate(marks, start, step, lambda a: F.concat(a["done"], a["base"], a["rest"]))
-
-
-def _forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _h, _v): id, digest of the raw text, visible form."""
-    spark = df.sparkSession
     cutter = _patterns()[2]
-    base = df.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(text_col, 256)).alias("_h"), F.col(text_col).alias("_t"))
-    touched = _needs_work(F.col("_t"))
-    settled = base.where(~touched).select("_id", "_h", F.col("_t").alias("_v"))
-
     # Rows are told apart by number within their partition, so that equal rows stay two; it never crosses an exchange.
-    work = base.where(touched).repartition("_id", "_h").withColumn("_r", F.monotonically_increasing_id())
-    pieces = work.select("_id", "_h", "_r", F.posexplode(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1))).alias("_p", "_piece")).where("_piece <> ''")
-    cluster = _needs_work(F.col("_piece"))
-    chars = pieces.select(
-        "_id", "_h", "_r", "_p", cluster.alias("_c"),
-        F.posexplode(F.when(cluster, F.split("_piece", "")).otherwise(F.array("_piece"))).alias("_k", "_ch"),
-    )
-    mapped = chars.join(F.broadcast(mapping_table(spark)), F.col("_c") & (F.col("_ch") == F.col("ch")), "left")
-    itself = F.array(F.struct(F.lit(0).alias("seg"), F.lit(0).alias("ccc"), F.lit(0).alias("j"), F.col("_ch").alias("cp")))
-    parts = mapped.select("_id", "_h", "_r", "_p", "_c", "_k", F.explode(F.coalesce("out", itself)).alias("e"))
-    # Within a cluster: a base's earlier starters, its last starter, then every mark by class, ties in order of place.
-    ordered = F.sort_array(F.collect_list(F.struct(F.col("e.seg").alias("seg"), F.col("e.ccc").alias("ccc"), F.col("_k").alias("k"), F.col("e.j").alias("j"), F.col("e.cp").alias("cp"))))
-    clusters = parts.groupBy("_id", "_h", "_r", "_p").agg(F.first("_c").alias("_c"), ordered.alias("_e"))
-    clusters = clusters.withColumn("_s", F.array_join(F.transform("_e", lambda e: e["cp"]), ""))
-    many = F.col("_c") & (F.size("_e") > 1)
-    whole = clusters.join(F.broadcast(composition_table(spark)), many & (F.col("_s") == F.col("cluster")), "left")
-    done = whole.select("_id", "_h", "_r", "_p", F.when(~many, F.col("_s")).when(F.col("composed").isNotNull(), F.col("composed")).otherwise(_compose_rest(F.col("_e"))).alias("_s"))
-    rebuilt = done.groupBy("_id", "_h", "_r").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", "_s"))), lambda e: e["_s"]), "").alias("_v"))
-    # A text of nothing but characters without ink has no cluster with a code point left; it is empty, not gone.
-    no_ink = F.regexp_replace("_t", f"[{U.char_class(U.unsettled()[1])}]+", "") == ""
-    emptied = base.where(touched & no_ink).select("_id", "_h", F.lit("").alias("_v"))
-    return settled.unionByName(rebuilt.select("_id", "_h", "_v")).unionByName(emptied)
+    work = work.repartition(F.col("_id"), F.col("_h")).withColumn("_r", F.monotonically_increasing_id())
+    cut = F.concat(F.coalesce(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1)), F.array().cast("array<string>")), F.array(F.lit("")))  # at least one piece
+    pieces = work.select(*carried, "_r", F.posexplode(cut).alias("_p", "_piece"))
+    pieces = pieces.withColumn("_many", (F.char_length("_piece") > 1) & ~F.col("_piece").rlike(rf"\A{_patterns()[0]}\z"))
+    forms = cluster_forms(pieces.where("_many").select(F.col("_piece").alias("cluster")).distinct()).select(F.lit(-1).alias("_s"), "cluster", F.col("form").alias("_form"))
+    singles = F.broadcast(single_table(work.sparkSession))
+    found = pieces.join(singles, F.col("_piece") == F.col("one"), "left")
+    found = found.withColumn("_side", F.when(F.col("_many"), -1).otherwise(F.pmod(F.hash("_id"), F.lit(1024))))
+    found = found.join(forms, (F.col("_side") == F.col("_s")) & (F.col("_piece") == F.col("cluster")), "left")
+    text = F.coalesce("_form", "form", "_piece")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", text.alias("_x")))), lambda e: e["_x"]), "")
+    return found.groupBy(*carried, "_r").agg(joined.alias("_v")).select(*carried, "_v")
 
 
 def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: str = "visible") -> DataFrame:
@@ -127,8 +128,7 @@ def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: st
     Texts are exploded to positioned code points, with stretches in which nothing can change kept whole; a broadcast
     join gives each code point its decomposition or the Latin letter it looks like; marks are ordered by class within
     their cluster, clusters recomposed, and the strings rebuilt in order. Texts without any such character pass
-    untouched and are never exploded. All rows of a text are made in the partition that holds it (one exchange by id;
-    the two groupings after it reuse that partitioning), so the cost follows the number of unsettled characters.
+    untouched and are never exploded or moved; the others go through one exchange by id.
 
     What is kept apart: case, accents, digits, punctuation, line breaks, number of blanks. What becomes one: width,
     kind of blank, characters without ink, encoded form of letters and accents, ligatures, letters of another script
@@ -136,25 +136,54 @@ def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: st
 
     Null texts give null, empty ones the empty string; repeated rows stay repeated; columns other than the two named are ignored, so clashing names do no harm.
     """
-    return _forms(df, id_col, text_col).select(F.col("_id").alias(id_col), F.col("_v").alias(out_col))
+    base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
+    touched = _needs_work(F.col("_t"))
+    work = base.where(touched).withColumn("_h", F.xxhash64("_t"))
+    return base.where(~touched).unionByName(_rebuilt(work, ["_id", "_h"]).select("_id", F.col("_v").alias("_t"))).select(F.col("_id").alias(id_col), F.col("_t").alias(out_col))
+
 
+def _looks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_i, look, raw) of the rows with a text: its id and the digests (SHA-256) of its visible form and of its characters.
 
-def same_looking_pairs(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    One scan; texts in which nothing changes go on as their digest.
+    """
+    base = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.unhex(F.sha2(text_col, 256)).alias("_h"), F.col(text_col).alias("_t"), _needs_work(F.col(text_col)).alias("_w"))
+    rows = _rebuilt(base.select("_id", "_h", "_w", F.when(F.col("_w"), F.col("_t")).alias("_t")), ["_id", "_h", "_w"])
+    # Read several times by what follows: written once, as 64 bytes a row, to the shared folder.
+    checkpoint_dir(df.sparkSession)
+    return rows.select(F.col("_id").alias("_i"), F.when(F.col("_w"), F.unhex(F.sha2("_v", 256))).otherwise(F.col("_h")).alias("look"), F.col("_h").alias("raw")).checkpoint()
+
+
+def look_classes(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """(id, class_id, kinds, links): one row for each row that looks like another of other characters. ``class_id`` is the least
+    id of its look, ``kinds`` the different texts of that look, ``links`` the rows of the look with another text than its own.
+
+    Linear in the rows whatever the groups' sizes: counts by text, then by look; no pairs are made. Null texts are in no
+    class; an empty table gives none.
+    """
+    rows = _looks(df, id_col, text_col)
+    kinds = rows.groupBy("look", "raw").agg(F.count(F.lit(1)).alias("n"), F.min("_i").alias("least"))
+    looks = kinds.groupBy("look").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).where("kinds > 1")
+    members = kinds.join(looks, "look").select("look", "raw", "class_id", "kinds", (F.col("all") - F.col("n")).alias("links"))
+    return rows.join(members, ["look", "raw"]).select(F.col("_i").alias(id_col), "class_id", "kinds", "links")
+
+
+def same_looking_pairs(df: DataFrame, id_col: str, text_col: str = "text", most_kinds: int = 1000) -> DataFrame:
     """(id_a, id_b), id_a < id_b: every pair of rows whose texts look the same and differ in at least one character.
 
     Rows are joined by digests (SHA-256 of the visible form and of the raw text), never texts. Identical copies form
     one class; only classes of one look are paired, then expanded to their rows, so a hot group of identical copies
-    costs what the result holds and no more. Null texts are in no pair; empty ones pair with texts of no ink.
+    costs what the result holds and no more. A look of many different texts is split into parts of about ``most_kinds``
+    for the pairing. look_classes() gives the same groups without the pairs. Null texts are in no pair; empty ones pair
+    with texts of no ink.
     """
-    forms = _forms(df.where(F.col(text_col).isNotNull()), id_col, text_col)
-    rows = forms.select(F.col("_id").alias("_i"), F.unhex(F.sha2("_v", 256)).alias("look"), F.col("_h").alias("raw"))
-    # Read four times below: written once, as 64 bytes a row, to the shared folder.
-    checkpoint_dir(df.sparkSession)
-    rows = rows.checkpoint()
+    rows = _looks(df, id_col, text_col)
     kinds = rows.groupBy("look", "raw").agg(F.count(F.lit(1)).alias("n"))
-    mixed = kinds.groupBy("look").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("look")
-    kinds = kinds.join(mixed, "look", "left_semi").select("look", "raw")
-    pairs = kinds.select("look", F.col("raw").alias("raw_a")).join(kinds.select("look", F.col("raw").alias("raw_b")), "look").where("raw_a < raw_b")
+    mixed = kinds.groupBy("look").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("look", F.ceil(F.col("kinds") / most_kinds).cast("int").alias("parts"))
+    kinds = kinds.join(mixed, "look").select("look", "raw", "parts")
+    left = kinds.select("look", F.pmod(F.hash("raw"), F.col("parts")).alias("part"), F.col("raw").alias("raw_a"))
+    right = kinds.select("look", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("raw").alias("raw_b"))
+    pairs = left.join(right, ["look", "part"]).where("raw_a < raw_b").drop("part")
     a = rows.select(F.col("_i").alias("ia"), F.col("look").alias("la"), F.col("raw").alias("ra"))
     b = rows.select(F.col("_i").alias("ib"), F.col("look").alias("lb"), F.col("raw").alias("rb"))
     both = pairs.join(a, (F.col("look") == F.col("la")) & (F.col("raw_a") == F.col("ra"))).join(b, (F.col("look") == F.col("lb")) & (F.col("raw_b") == F.col("rb")))
