@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from voxmill.llm.tokens import TOKENIZER, token_sizes
 
 
+SCHEMA = "pack_name string, container bigint, item bigint, piece int, size int"
+
+
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Container number of each item (sizes at most the capacity), placed in the given order.
 
@@ -59,27 +62,39 @@ def pack_items(items: DataFrame, packs: list[tuple[str, int]], group_items: int
     packs = sorted({(str(n), int(c)) for n, c in packs if c and c > 0})
     total = items.count() if count is None else count
     groups = max(1, -(-total // group_items))
-    schema = "pack_name string, container bigint, item bigint, piece int, size int"
     if not packs:
-        return items.sparkSession.createDataFrame([], schema)
+        return items.sparkSession.createDataFrame([], SCHEMA)
     sized = items.where(F.col("size").isNotNull()).select("item", "size", F.pmod(F.xxhash64("item"), F.lit(groups)).alias("grp"))
-    choice = F.explode(F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).alias("capacity")) for n, c in packs])).alias("p")
-    rows = sized.select("item", "size", "grp", choice).select("item", "size", "grp", "p.pack_name", "p.capacity")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        name, capacity, grp = key[0], int(key[1]), int(key[2])
-        size = pdf["size"].to_numpy().astype(np.int64)
-        whole = np.maximum(1, -(-size // capacity))
-        item = np.repeat(pdf["item"].to_numpy(), whole)
-        piece = np.arange(len(item)) - np.repeat(np.cumsum(whole) - whole, whole)
-        last = piece == np.repeat(whole, whole) - 1
-        part = np.where(last, np.repeat(size, whole) - piece * capacity, capacity)
-        order = np.lexsort((piece, item, -part))
-        box = np.empty(len(item), dtype=np.int64)
-        box[order] = sum_of_squares(part[order], capacity)
-        return pd.DataFrame({"pack_name": name, "container": box * groups + grp, "item": item, "piece": piece.astype(np.int32), "size": part.astype(np.int32)})
-
-    return rows.groupBy("pack_name", "capacity", "grp").applyInPandas(run, schema)
+        size, ident = pdf["size"].to_numpy().astype(np.int64), pdf["item"].to_numpy()
+        out = []
+        for name, capacity in packs:
+            whole = np.maximum(1, -(-size // capacity))
+            item = np.repeat(ident, whole)
+            piece = np.arange(len(item)) - np.repeat(np.cumsum(whole) - whole, whole)
+            last = piece == np.repeat(whole, whole) - 1
+            part = np.where(last, np.repeat(size, whole) - piece * capacity, capacity)
+            order = np.lexsort((piece, item, -part))
+            box = np.empty(len(item), dtype=np.int64)
+            box[order] = sum_of_squares(part[order], capacity)
+            out.append(pd.DataFrame({"pack_name": name, "container": box * groups + int(key[0]), "item": item, "piece": piece.astype(np.int32), "size": part.astype(np.int32)}))
+        return pd.concat(out)
+
+    return sized.groupBy("grp").applyInPandas(run, SCHEMA)
+
+
+def packing_faults(packed: DataFrame, packs: list[tuple[str, int]]) -> DataFrame:
+    """(pack_name, items, tokens, overfull, torn, uneven): items placed, and what must be 0: containers above the capacity, items in
+    several pieces though they fit into one container, and cut items with a piece but the last that is not full."""
+    capacity = F.element_at(F.create_map(*[F.lit(x) for n, c in sorted(set(packs)) for x in (n, c)]), F.col("pack_name"))
+    held = packed.groupBy("pack_name", "container").agg(F.sum("size").alias("t")).groupBy("pack_name").agg(F.sum((F.col("t") > capacity).cast("int")).alias("overfull"))
+    # A repeated item is several items; each has a piece 0.
+    per = packed.groupBy("pack_name", "item").agg(F.sum((F.col("piece") == 0).cast("int")).alias("copies"), F.sum("size").alias("t"), F.max("piece").alias("last"), F.sum((F.col("size") < capacity).cast("int")).alias("slack"))
+    per = per.groupBy("pack_name").agg(
+        F.sum("copies").alias("items"), F.sum("t").alias("tokens"), F.sum(((F.col("last") > 0) & (F.col("t") <= capacity)).cast("int")).alias("torn"), F.sum(((F.col("last") > 0) & (F.col("slack") > F.col("copies"))).cast("int")).alias("uneven")
+    )
+    return per.join(held, "pack_name").select("pack_name", "items", "tokens", "overfull", "torn", "uneven")
 
 
 def pack_documents(documents: DataFrame, packs: list[tuple[str, int]], tokenizer: str = TOKENIZER, group_items: int = 20_000) -> DataFrame:
