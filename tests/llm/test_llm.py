@@ -33,6 +33,16 @@ def test_visible_form_equals_unicode(spark):
     assert sorted(r[1] for r in visible.visible_form(twice, "doc_id").collect()) == ["a", "b", "b", "\u00e9", "\u00e9"]
 
 
+def test_every_character_in_three_settings(spark):
+    """Each character of the tables alone, after a letter, and between two marks."""
+    t = U.tables()
+    chars = sorted((t["decomposition"].keys() | t["classes"].keys() | t["followers"]) - {chr(c) for c in range(0xAC10, 0xD7A4)})
+    texts = [x for c in chars for x in (c, f"e{c}x", f"a\u0301{c}\u0323b")] + [chr(c) + "\u0301" for c in range(0x20, 0x3000)] + [chr(c) for c in range(0x10000, 0x11000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bad = [(texts[r[0]], r[1]) for r in visible.visible_form(df, "doc_id").collect() if r[1] != U.folded(texts[r[0]])]
+    assert not bad, bad[:5]
+
+
 @given(st.text(alphabet=[chr(c) for c in (0x61, 0x41, 0x65, 0x300, 0x301, 0x323, 0x327, 0x200B, 0xAD, 0xE9, 0x1100, 0x1161, 0x11A8, 0xFB01, 0xFF21, 0x430, 0x3000, 0x2F00, 0x20, 0x0A)], max_size=12))
 @settings(max_examples=200, deadline=None)
 def test_folding_is_stable(text):
@@ -48,6 +58,13 @@ def test_same_looking_pairs(spark):
     want = {(a[0], b[0]) for a, b in itertools.combinations(known, 2) if a[1] != b[1] and U.folded(a[1]) == U.folded(b[1])}
     assert got == want and (8, 9) in got and (1, 2) in got and (1, 3) not in got
     assert visible.same_looking_pairs(df.where("false"), "doc_id").count() == 0
+    assert {tuple(r) for r in visible.same_looking_pairs(df, "doc_id", most_kinds=1).collect()} == want  # looks split into parts
+    classes = {r["doc_id"]: (r["class_id"], r["kinds"], r["links"]) for r in visible.look_classes(df, "doc_id").collect()}
+    group = {i: [j for j, _ in known if any({i, j} == set(p) for p in want)] for i, _ in known}
+    least = {U.folded(t): min(j for j, x in known if U.folded(x) == U.folded(t)) for _, t in known}
+    assert {i: (c, n) for i, (c, _, n) in classes.items()} == {i: (least[U.folded(t)], len(group[i])) for i, t in known if group[i]}
+    assert classes[1][1] == len({t for _, t in known if U.folded(t) == U.folded(rows[0][1])})
+    assert visible.look_classes(df.where("false"), "doc_id").count() == 0
 
 
 # ---- 3: terms --------------------------------------------------------------------------------------------------------
@@ -96,7 +113,8 @@ def test_cuts_hold_the_limit(steps, limit, overlap):
 
 
 def best_by_force(spans, limit, overlap):
-    at, penalty = splitting._candidates(spans, limit - overlap, 300)
+    place, _ = splitting._boundaries(splitting.stretches(spans), limit - overlap)
+    at, penalty = sorted(place), [place[t] for t in sorted(place)]
     step, best = limit - overlap, None
     inner = range(1, len(at) - 1)
     for k in range(len(at) - 1):
@@ -119,16 +137,52 @@ def test_cuts_are_the_cheapest(seed):
         at = spans[-1][1]
     limit, overlap = 1500, 200
     cuts, _ = splitting.cut_item(spans, limit, overlap)
-    places, penalty = splitting._candidates(spans, limit - overlap, 300)
+    place, _ = splitting._boundaries(splitting.stretches(spans), limit - overlap)
     edges = [spans[0][0], *cuts, at]
-    cost = sum(penalty[list(places).index(c)] for c in cuts) + sum(((limit - overlap - (b - a)) / (limit - overlap)) ** 2 for a, b in zip(edges, edges[1:]))
+    cost = sum(place[c] for c in cuts) + sum(((limit - overlap - (b - a)) / (limit - overlap)) ** 2 for a, b in zip(edges, edges[1:]))
     assert cost == pytest.approx(best_by_force(spans, limit, overlap))
 
 
 def test_odd_limits():
     assert splitting.cut_item([[0, 10_000]], 1000, 1000)[1] and splitting.cut_item([[0, 10_000]], 1000, 5000)[1]
-    assert splitting.cut_item([[0, 10**15]], 8000, 300) == ([], True)
     assert splitting.cut_item([[5, 5]], 100, 10) == ([], False)
+    assert splitting.cut_item([[0, 0], [900, 900]], 300, 300)[1] is False  # no stretch lasts longer than nothing
+    assert max(np.diff([0, *splitting.cut_item([[0, 50], [300, 350], [599, 700]], 100, 30)[0], 700])) <= 70  # gaps wider than a piece
+
+
+def test_spaces_are_cut_evenly():
+    assert splitting.cut_item([[0, 50_000]], 20_000, 300) == ([16_666, 33_333], True)
+    cuts, forced = splitting.cut_item([[0, 100], [10**11, 10**11 + 100]], 20_000, 300)
+    edges = np.diff([0, *cuts, 10**11 + 100])
+    assert not forced and edges.max() <= 19_700 and edges.min() > 0
+    runs, forced = splitting.cut_runs([[0, 10**15]], 8000, 300)
+    assert runs == [(0, 10**15, -(-(10**15) // 7700))] and forced
+    assert splitting.cut_item([[0, 1000], [21_000, 22_000]], 20_000, 300)[0] == [11_000]  # one cut in the middle of the pause
+
+
+def flag_by_words(spans, limit, overlap):
+    """Pauses between the end of one pair and the begin of the next in time order; a stretch lasts from its least begin to its largest end."""
+    spans, parts = sorted(map(tuple, spans)), []
+    for k, x in enumerate(spans):
+        if not k or x[0] - spans[k - 1][1] >= 300:
+            parts.append([])
+        parts[-1].append(x)
+    return any(max(e for _, e in p) - min(b for b, _ in p) > limit - overlap for p in parts)
+
+
+@given(st.lists(st.tuples(st.integers(-500, 30_000), st.integers(0, 9000)), min_size=1, max_size=12), st.integers(50, 9000), st.integers(0, 9000))
+@settings(max_examples=300, deadline=None)
+def test_nested_and_unordered_pairs(pairs, limit, overlap):
+    spans = [[b, b + n] for b, n in pairs]
+    runs, forced = splitting.cut_runs(spans, limit, overlap)
+    assert forced == flag_by_words(spans, limit, overlap)
+    step = limit - overlap if overlap < limit else max(1, limit - limit // 2)
+    assert runs[0][0] == min(b for b, _ in spans) and runs[-1][1] == max(e for _, e in spans)
+    assert all(x[1] == y[0] for x, y in zip(runs, runs[1:])) and all(-(-(b - a) // n) <= step for a, b, n in runs)
+
+
+def test_nested_pairs_as_in_the_sql():
+    assert splitting.cut_item([[0, 15_000], [100, 200], [600, 20_200]], 20_000, 300)[1] is False
 
 
 def test_long_messages(spark):
@@ -143,6 +197,10 @@ def test_long_messages(spark):
     cut = splitting.pieces(splitting.long_messages(m, config)).where("item = 1").orderBy("piece").collect()
     assert cut[0]["begin_ms"] == 0 and cut[-1]["end_ms"] == 24000 and all(r["end_ms"] - r["begin_ms"] <= 10000 for r in cut)
     assert all(b["begin_ms"] == a["end_ms"] - 600 for a, b in zip(cut, cut[1:]))
+    far = spark.createDataFrame([(1, [[0, 100], [10**9, 10**9 + 7]], 20_000, 300)], "item bigint, spans array<array<bigint>>, limit_ms int, overlap_ms int")
+    cut = splitting.pieces(splitting.split_oversized(far), at_once=1000).toPandas().sort_values("piece")
+    assert cut["piece"].tolist() == list(range(len(cut))) and (cut["end_ms"] - cut["begin_ms"]).max() <= 20_000 and cut["end_ms"].iloc[-1] == 10**9 + 7
+    assert (cut["begin_ms"].to_numpy()[1:] == np.maximum(0, cut["end_ms"].to_numpy()[:-1] - 300)).all() and len(cut) <= 50_770
     assert splitting.long_messages(m.where("false"), config).count() == 0
     assert {r["item"] for r in splitting.long_messages(m, config.where("false")).collect()} == {1, 2, 4, 11}
 
@@ -165,8 +223,40 @@ def test_profiles_name_the_language(models):
     profiles, _ = models
     assert all(language.LANGUAGES[profiles.best(s)[0]] == lang for lang, s in SAID.items())
     assert profiles.best("")[1] == 0.0 and profiles.best("12 %")[1] == 0.0
-    assert language.segment([SAID["en"]] * 2 + [SAID["zh"]], profiles)[0][0] == "en"
-    assert language.segment([], profiles) == []
+    runs = language.segments_of([[SAID["en"]] * 2 + [SAID["zh"]], [], [SAID["fr"]]], profiles)
+    assert [[(r["lang"], r["first"], r["sentences"]) for r in x] for x in runs] == [[("en", 0, 2), ("zh", 2, 1)], [], [("fr", 0, 1)]]
+    assert language.segments_of([], profiles) == []
+
+
+def distance_by_definition(sentence, profiles):
+    """Out-of-place distance, one n-gram at a time."""
+    counts = {}
+    for w in re.findall(r"[^\W\d_]+", re.sub(r"\([^()]*\)", " ", sentence).lower()):
+        for g in language.word_ngrams(w):
+            counts[g] = counts.get(g, 0) + 1
+    entries = [(g, n) for g, n in counts.items() if g in profiles.grams] + [(None, 1) for g, n in counts.items() if g not in profiles.grams for _ in range(n)]
+    if not any(g for g, _ in entries):
+        return np.ones(len(profiles.languages))
+    out = np.zeros(len(profiles.languages))
+    for g, n in entries:
+        own = (sum(m > n for _, m in entries) + (sum(m == n for _, m in entries) - 1) / 2) * min(1.0, 300 / len(entries))
+        for c in range(len(out)):
+            place = profiles.rows[c, profiles.grams[g]] if g else profiles.size
+            out[c] += profiles.size if place >= profiles.size else abs(place - own)
+    return out / len(entries) / profiles.size
+
+
+def test_distances_equal_the_definition(models, monkeypatch):
+    profiles, _ = models
+    said = [*SAID.values(), "", "12 %", "xqzxq", "a (foreign name) b", "Ends, with\na line", "la " * 900, "ж" * 40 + " the", SAID["de"] * 30]
+    want = np.array([distance_by_definition(s, profiles) for s in said])
+    assert np.allclose(profiles.distances(said), want, atol=1e-5)
+    monkeypatch.setattr(language, "_BLOCK", 300)
+    assert np.allclose(profiles.distances(said), want, atol=1e-5)
+    profiles.distances(["word"])
+    profiles._words.remember = 3  # forgets between calls
+    assert np.allclose(profiles.distances(said), want, atol=1e-5) and np.allclose(profiles.distances(said[::-1]), want[::-1], atol=1e-5)
+    assert profiles.distances([]).shape == (0, 5)
 
 
 def test_held_out_sentences(small, models):
@@ -184,7 +274,7 @@ def test_learning_data_is_drawn_evenly(spark, monkeypatch):
     rows = [(i, f"One more copy. {SAID['en']}", "en", "en/a.wav") for i in range(500)] + [(1000 + i, f"Number {i}. {SAID['en']}", "en", "en/a.wav") for i in range(300)] + [(2000 + i, f"{i}. Mal. {SAID['es']}", "es", "es/a.wav") for i in range(20)] + [(3000 + i, f"{i}. Mal. {SAID['de']}", "de", "de/a.wav") for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, wav_name string")
     drawn = []
-    monkeypatch.setattr(language, "profiles_of", lambda x: drawn.append([code for code, _ in x]))
+    monkeypatch.setattr(language, "profiles_of", lambda x: drawn.append([code for _, _, code in x]))
     language.train_profiles(df, 120)
     assert {c: drawn[0].count(c) for c in ("en", "es", "de")} == {"en": 50, "es": 20, "de": 50}
     monkeypatch.setattr(sentences.BoundaryModel, "train", staticmethod(lambda x: drawn.append(x)))
@@ -198,6 +288,8 @@ def test_wrong_labels_edges(spark, small, models):
     seg = language.language_segments(df, *models)
     assert {(r["doc_id"], r["code"], len(r["segments"])) for r in seg.collect()} == {(1, "en", 1), (2, "de", 1), (3, None, 1), (4, "en", 2), (5, "en", 0), (6, "en", 0), (7, "en", 0), (8, "en", 2), (8, "zh", 1)}
     shares = {(r["doc_id"], r["lang"]): r["share"] for r in language.document_languages(seg).collect()}
+    placed = {(r["doc_id"], r["segment"]): (r["first_sentence"], r["last_sentence"], r["lang"]) for r in language.placed_segments(seg).where("doc_id in (4, 8)").collect()}
+    assert placed[4, 0] == (0, 0, "en") and placed[4, 1] == (1, 1, "de") and placed[8, 1] == (9, 9, "fr")
     assert shares[4, "de"] == 0.5 and shares[8, "fr"] == pytest.approx(0.1)
     assert language.language_segments(df.where("false"), *models).count() == 0
     empty = language.train_profiles(df.where("false"))
@@ -278,6 +370,10 @@ def test_pack_items(spark):
         assert part["size"].sum() == sum(s or 0 for _, s in rows)
         pieces = part.groupby("item").size()
         assert pieces[1] == -(-600 // cap) and pieces[6] == -(-1025 // cap) and pieces[2] == 1 and pieces[3] == 2 and 7 not in pieces.index
+    checked = {r["pack_name"]: r.asDict() for r in packing.packing_faults(packing.pack_items(df, [("s", 512), ("m", 1024)]), [("s", 512), ("m", 1024)]).collect()}
+    assert all((r["overfull"], r["torn"], r["uneven"], r["items"]) == (0, 0, 0, 10) for r in checked.values())
+    bad = spark.createDataFrame([("s", 1, 1, 0, 300), ("s", 1, 2, 0, 300), ("s", 2, 3, 0, 10), ("s", 3, 3, 1, 10)], packing.SCHEMA)
+    assert packing.packing_faults(bad, [("s", 512)]).collect()[0].asDict() == {"pack_name": "s", "items": 3, "tokens": 620, "overfull": 1, "torn": 1, "uneven": 1}
     assert packing.pack_items(df.where("false"), [("s", 512)]).count() == 0 and packing.pack_items(df, []).count() == 0
 
 
@@ -335,13 +431,14 @@ def test_mix_reaches_shares(spark):
 
 # ---- 9: subjects -----------------------------------------------------------------------------------------------------
 def test_linear_learns():
-    hasher = linear.FeatureHasher(12)
-    rows = [hasher(["x", f"n{i % 7}"]) if i % 2 else hasher(["y", f"n{i % 7}"]) for i in range(200)]
+    words = [w for i in range(200) for w in ("xy"[i % 2], f"n{i % 7}")]
+    rows = linear.gathered(np.repeat(np.arange(200), 2), linear.columns(12, 1, linear.Hashes().of(words)), 200)
     y = np.array([[i % 2, 1 - i % 2] for i in range(200)], dtype=np.float32)
-    model = linear.fit(*linear.pack(rows), y, bits=12)
-    assert ((model.probabilities(*linear.pack(rows)) > 0.5) == (y > 0.5)).all()
-    assert model.logits(*linear.pack([])).shape == (0, 2)
-    assert model.logits(*linear.pack([[]])).shape == (1, 2)
+    model = linear.fit(*rows, y, bits=12)
+    assert ((model.probabilities(*rows) > 0.5) == (y > 0.5)).all()
+    none = np.zeros(0, dtype=np.int64)
+    assert model.logits(*linear.gathered(none, none.astype(np.int32), 0)).shape == (0, 2)
+    assert model.logits(*linear.gathered(none, none.astype(np.int32), 1)).shape == (1, 2)
 
 
 @pytest.fixture(scope="module")
@@ -369,7 +466,31 @@ def test_subject_edges(spark, subject_model):
     assert subjects.subjects_found(subjects.subject_shares(df.where("false"), model)).count() == 0
     none = subjects.train([(1, "Some text here.", None)], ["law", "sport"], None)
     assert none.shares(["The judge."])[0].sum() == 0
-    assert subjects.features("L'orage 你好吗 12") == ["你好", "好吗", "你好吗", "l", "orage", "l orage"]
+
+
+def features_by_definition(sentence):
+    """Words, word pairs, and runs of Chinese characters, as strings."""
+    tokens = re.findall(r"[㐀-鿿]|[^\W\d_㐀-鿿]+|\d+", sentence.lower())
+    words = [t for t in tokens if not t[0].isdigit() and not "㐀" <= t <= "鿿"]
+    runs = "".join(t if "㐀" <= t <= "鿿" else " " for t in tokens).split()
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])] + [r[i : i + k] for r in runs for k in (2, 3, 4) for i in range(len(r) - k + 1)]
+
+
+def test_features_equal_the_definition():
+    said = ["L'orage 你好吗 12", "", "a b a b", "你好，世界 now 再见 3 你", "12", "one\ntwo", "好" * 9]
+    assert features_by_definition(said[0]) == ["l", "orage", "l orage", "你好", "好吗", "你好吗"]
+    read = subjects.Features()
+    ptr, idx = read(said)
+    column = {}
+    for k, s in enumerate(said):
+        got, want = sorted(idx[ptr[k] : ptr[k + 1]].tolist()), features_by_definition(s)
+        assert len(got) == max(1, len(want)), s
+        for f in want:  # one column a feature, the same in any sentence
+            column.setdefault(f, read([f])[1][-1])
+        assert got == (sorted(int(column[f]) for f in want) or [0]), s
+    ptr, idx = read.topic_words(said)
+    assert np.diff(ptr).tolist() == [4, 1, 4, 5, 1, 2, 8] and idx.max() < len(set(idx.tolist()))
+    assert read([])[0].tolist() == [0]
 
 
 COURT = [f"The judge ruled out the {a} of the {b}, which surprised everybody" for a in ("verdict", "appeal", "plea", "trial", "bail", "fine") for b in ("jury", "lawyer", "court")]
@@ -379,9 +500,9 @@ CALL = "The number you have dialled is busy"
 def test_common_is_decided_on_the_whole_sentence(monkeypatch):
     seen = []
     weak = subjects.weak_labels
-    monkeypatch.setattr(subjects, "weak_labels", lambda words, *a: seen.extend(words) or weak(words, *a))
-    subjects.train([(i, f"{s}. {CALL}.", "law") for i, s in enumerate(COURT)], ["law", "sport"], None)
-    assert sorted(seen) == sorted(subjects.topic_words(s) for s in COURT)
+    monkeypatch.setattr(subjects, "weak_labels", lambda said, *a: seen.extend(said) or weak(said, *a))
+    subjects.train([(i, f"{s}. {CALL}.", "law" if i < 4 else None) for i, s in enumerate(COURT)], ["law", "sport"], None)
+    assert sorted(s.strip() for s in seen) == sorted(COURT[:3] + COURT[4:])  # the fourth label is kept out, for the thresholds
 
 
 def test_announcement_is_cut_off_its_sentence():
@@ -397,7 +518,53 @@ def test_common_sentences_count_texts_once(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert subjects.common_sentences(df, None) == {subjects.digest(subjects.letters(CALL))}
     assert subjects.common_sentences(df.where("doc_id < 0"), None) == set()
-    assert len(sentences.draw_texts(df, 100)) == len(COURT) + 3  # copies that only look the same, and the empty text, differ
+    drawn = sentences.draw_texts(df, {"all": (F.lit("x"), 100), "few": (F.when(F.col("doc_id") < 100, "y"), 5), "none": (F.lit(None).cast("string"), 9)})
+    assert len(drawn["all"]) == len(COURT) + 3  # copies that only look the same, and the empty text, differ
+    assert len(drawn["few"]) == 5 and {i for i, _, _ in drawn["few"]} <= set(range(100)) and drawn["none"] == []
+
+
+def test_drawing_finds_enough_below_a_low_border(spark, monkeypatch):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 2000).alias("text"), (F.col("id") % 50).alias("mine"))
+    # Copies stand in two parts each, so the estimates add up to twice the texts.
+    drawn = sentences.draw_texts(df, {"a": (F.lit("p"), 300), "b": (F.when(F.col("doc_id") < 2000, "q").otherwise("r"), 400)})
+    assert len({t for _, t, _ in drawn["a"]}) == 300 and [sum(p == x for _, _, p in drawn["b"]) for x in "qr"] == [200, 200]
+    own = sentences.draw_texts(df.withColumn("mine", F.when(F.col("doc_id") < 7, F.col("mine"))), {"a": (F.lit("p"), 10)}, "mine")
+    assert [i for i, _, _ in own["extra"]] == list(range(7)) and len(own["a"]) == 10
+    assert sentences.even_shares({"a": 100, "b": 3, "c": 50}, 60) == {"b": 3, "c": 28, "a": 29}
+
+
+def test_paths_name_subjects(spark):
+    areas = [("law", "courts and markets"), ("finance", "money and markets"), ("sport", None)]
+    rows = [("news/Law/1.html", None), ("x/money_2", None), ("markets", None), ("law/sport", None), ("outlaw", "sport"), (None, None), ("a", "b")]
+    df = spark.createDataFrame(rows, "path string, section string")
+    assert [r[0] for r in df.select(subjects.named_subject(["path", "section"], areas)).collect()] == ["law", "finance", None, None, "sport", None, None]
+
+
+GAME = [f"The keeper {a} the {b} in the final match" for a in ("missed", "caught", "kicked", "lost", "held", "threw") for b in ("ball", "goal", "cup")]
+
+
+def test_paths_are_weak_labels(spark):
+    rows = [(i, s + ". " + s.replace("The", "Then the") + ".", "en", f"news/{'law' if s in COURT else 'sport'}/{i}.html") for i, s in enumerate(COURT + GAME)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, address string").withColumn("wav_name", F.lit("en/a.wav"))
+    areas = spark.createDataFrame([("law", "courts"), ("sport", "games")], "subject string, title string")
+    seed = spark.createDataFrame([], "doc_id bigint, subject string")
+    without = subjects.learn_subjects(df, seed, areas)
+    assert without.shares([COURT[0]])[0].sum() == 0
+    model = subjects.learn_subjects(df, seed, areas, sections=["address"])
+    share, _ = model.shares(["The judge ruled out the appeal of the court", "The keeper lost the cup in the match"])
+    assert share.argmax(1).tolist() == [0, 1] and (share.max(1) == 1).all()
+
+
+def test_thresholds_follow_hand_labels():
+    class Fixed(subjects.SubjectModel):
+        def sentence_scores(self, said):
+            return np.array([[0.7, 0.1] if "law" in s else [0.1, 0.35] if "sport" in s else [0.45, 0.1] for s in said])
+
+    model = Fixed(["law", "sport"], None, np.full(2, 0.5), None)
+    split, label = [["law"]] * 5 + [["sport"]] * 5 + [["talk", "sport", "sport", "sport"]] * 5, np.array([0] * 5 + [1] * 10)
+    low = subjects.calibrated(model, split, label)
+    assert low[1] <= 0.35 + 1e-9  # or every sport document is missed
+    assert low[0] > 0.46  # small talk that scores 0.45 is no law
 
 
 def test_copies_train_once(monkeypatch):
@@ -409,6 +576,20 @@ def test_copies_train_once(monkeypatch):
     assert seen == [1]
 
 
+def test_mixing_many_sources(spark, monkeypatch):
+    """What reaches the driver depends on the targets, not on the sources."""
+    items = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "memo").otherwise(F.concat(F.lit("host"), "id")).alias("source"), F.lit("en").alias("lang"), F.lit(None).cast("string").alias("topic"), F.lit(10).alias("tokens"))
+    targets = spark.createDataFrame([("memo", 1.0, 2)], "source string, target_share double, max_repeat int")
+    seen, to_pandas = [], type(items).toPandas
+    monkeypatch.setattr(type(items), "toPandas", lambda df: seen.append(to_pandas(df)) or seen[-1])
+    mixed = mixing.mix(items, targets)
+    assert len(seen) == 3 and sum(len(x) for x in seen) < 1000
+    assert mixed.count() == 200_000 and mixed.agg(F.max("uses"), F.sum("uses")).collect()[0] == (2, 100_000)
+    assert mixed.where("source = 'host1'").collect()[0]["uses"] == 0
+    with pytest.raises(ValueError):
+        mixing.mix(items.withColumn("topic", F.col("source")), targets)
+
+
 def test_queries_run(spark, sf):
     from voxmill.llm import queries
 

@@ -11,12 +11,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.sentences import LANGUAGES, BoundaryModel, draw_texts, label_code, learn_boundaries, split_sentences
+from voxmill.llm.sentences import LANGUAGES, BoundaryModel, boundaries_of, draw_texts, label_code, punctuated_language, split_texts
 from voxmill.session import spread
 
 PROFILE_SIZE = 2000
-_NOT_TEXT = re.compile(r"[\W\d_]+")
-_ASIDE = re.compile(r"\([^()]*\)")
+_WORD = re.compile(r"[^\W\d_]+|\n")
+_ASIDE = re.compile(r"\([^()\n]*\)")
+#: A sentence of more n-grams is measured alone, so that the tables of counts stay small.
+_LONG, _BLOCK = 2000, 100_000
 
 
 def word_ngrams(word: str) -> list[str]:
@@ -25,13 +27,18 @@ def word_ngrams(word: str) -> list[str]:
     return [*word, *(w[i : i + k] for k in (2, 3, 4) for i in range(len(w) - k + 1))]
 
 
-def words_of(sentence: str) -> list[str]:
-    """Lower-cased words; digits, punctuation and asides in brackets are left out."""
-    return [w for w in _NOT_TEXT.split(_ASIDE.sub(" ", sentence).lower()) if w]
+def words_of(sentences: list[str]) -> list[str]:
+    """The lower-cased words of all sentences in order, a line feed after each; digits, punctuation and asides in brackets are left out."""
+    text = "\n".join(s.replace("\n", " ") if "\n" in s else s for s in sentences) + "\n"
+    return _WORD.findall(_ASIDE.sub(" ", text).lower())
 
 
-def ngrams(sentence: str) -> list[str]:
-    return [g for w in words_of(sentence) for g in word_ngrams(w)]
+def ngram_counts(words: Counter) -> Counter:
+    out: Counter = Counter()
+    for w, n in words.items():
+        for g in word_ngrams(w):
+            out[g] += n
+    return out
 
 
 def ranked(counts: Counter, size: int = PROFILE_SIZE) -> dict[str, float]:
@@ -48,6 +55,36 @@ def ranked(counts: Counter, size: int = PROFILE_SIZE) -> dict[str, float]:
     return rank
 
 
+class _WordIds(dict):
+    """Words to their place in a table of n-gram ids."""
+
+    def __init__(self, profiles: RankProfiles, remember: int = 200_000):
+        super().__init__()
+        self.grams, self.none, self.remember = profiles.grams, profiles.none, remember
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.flat, self.begin, self.fresh = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64), []
+        self["\n"]
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        self.fresh.append([] if word == "\n" else [self.grams.get(g, self.none) for g in word_ngrams(word)])
+        return k
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """The words' places; ``flat`` from ``begin[place]`` up to ``begin[place + 1]`` holds the ids of a word's n-grams."""
+        if len(self) > self.remember:
+            self.forget()
+        out = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.fresh:
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in self.fresh])])
+            self.flat = np.concatenate([self.flat, np.array([i for x in self.fresh for i in x], dtype=np.int32)])
+            self.fresh = []
+        return out
+
+
 class RankProfiles:
     """The profile of each language, for measuring how far a text's n-gram ranks lie out of place."""
 
@@ -55,110 +92,170 @@ class RankProfiles:
         self.languages, self.size = tuple(counts), size
         rank = {lang: ranked(c, size) for lang, c in counts.items()}
         grams = {g: i for i, g in enumerate(sorted({g for r in rank.values() for g in r}))}
-        self.rows = np.full((len(grams) + 1, len(rank)), size, dtype=np.float32)
+        self.rows = np.full((len(rank), len(grams) + 1), 1e9, dtype=np.float32)
         for c, r in enumerate(rank.values()):
             for g, x in r.items():
-                self.rows[grams[g], c] = x
-        self.grams, self.none, self._seen = grams, len(grams), {}
-
-    def _word_ids(self, word: str) -> list[int]:
-        ids = self._seen.get(word)
-        if ids is None:
-            if len(self._seen) >= 200_000:
-                self._seen.clear()
-            ids = self._seen[word] = [self.grams.get(g, self.none) for g in word_ngrams(word)]
-        return ids
-
-    def distance(self, sentence: str) -> np.ndarray:
-        """Mean out-of-place distance to each language in [0, 1]; an n-gram that a profile lacks counts as its size.
-
-        The text's own ranks are stretched over at most 300 places, as a short text has few distinct n-grams. N-grams
-        that no profile has count one by one, as often as they occur.
+                self.rows[c, grams[g]] = x
+        self.grams, self.none, self._words = grams, len(grams), None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_words": None}
+
+    def distances(self, sentences: list[str]) -> np.ndarray:
+        """Of each sentence the mean out-of-place distance to each language in [0, 1]; an n-gram that a profile lacks counts as its size.
+
+        A sentence's own ranks (equal frequencies share their mean rank) are stretched over at most 300 places, as a
+        short text has few distinct n-grams. N-grams that no profile has count one by one, as often as they occur.
         """
-        ids = [i for w in words_of(sentence) for i in self._word_ids(w)]
-        if not ids:
-            return np.ones(len(self.languages), dtype=np.float32)
-        counts = np.bincount(ids, minlength=self.none + 1)
-        unknown = int(counts[self.none])
-        known = np.flatnonzero(counts[: self.none])
-        if not len(known):
-            return np.ones(len(self.languages), dtype=np.float32)
-        n, total = counts[known], len(known) + unknown
-        sizes = np.bincount(n)
-        sizes[1] += unknown
-        before = np.cumsum(sizes[::-1])[::-1] - sizes
-        own = ((before + (sizes - 1) / 2)[n] * min(1.0, 300 / total)).astype(np.float32)
-        place = self.rows[known]
-        away = np.where(place >= self.size, self.size, np.abs(place - own[:, None]))
-        return (away.sum(0) + unknown * self.size) / total / self.size
+        if self._words is None:
+            self._words = _WordIds(self)
+        out = np.ones((len(sentences), len(self.languages)), dtype=np.float32)
+        place = self._words.of(words_of(sentences))
+        begin, flat = self._words.begin, self._words.flat
+        size = begin[place + 1] - begin[place]
+        ends = np.flatnonzero(place == 0)  # the line feeds
+        upto = np.concatenate([[0], np.cumsum(size)])[ends]
+        grams = np.diff(upto, prepend=0)
+        a = 0
+        while a < len(sentences):
+            b = a + 1
+            if grams[a] <= _LONG:
+                before = upto[a] - grams[a]
+                b = min(a + 10_000, max(b, int(np.searchsorted(upto, before + _BLOCK, side="right"))))
+                if (long := np.flatnonzero(grams[a:b] > _LONG)).size:
+                    b = a + int(long[0])
+            w0, w1 = (ends[a - 1] + 1 if a else 0), ends[b - 1] + 1
+            n = size[w0:w1]
+            ids = flat[np.repeat(begin[place[w0:w1]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            self._measure(out[a:b], np.repeat(np.arange(b - a, dtype=np.int32), grams[a:b]), ids)
+            a = b
+        return out
+
+    def _measure(self, out: np.ndarray, row: np.ndarray, ids: np.ndarray) -> None:
+        """Distances of some sentences, whose n-grams are given one by one, into ``out``."""
+        rows, width = len(out), self.none + 1
+        key = row * width + ids  # sentences of a block are few enough for 32 bits
+        key.sort()
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        key, n = key[begin], np.diff(begin, append=len(key))
+        row = key // width
+        ids = key - row * width
+        new = ids == self.none
+        unknown = np.zeros(rows, dtype=np.int64)
+        unknown[row[new]] = n[new]
+        row, ids, n = row[~new], ids[~new], n[~new]
+        most = int(n.max(initial=1)) + 1
+        of = row * most + n
+        sizes = np.bincount(of, minlength=rows * most).reshape(rows, most)
+        known = sizes.sum(1)
+        sizes[:, 1] += unknown
+        total = known + unknown
+        before = np.cumsum(sizes[:, ::-1], axis=1)[:, ::-1] - sizes
+        mean = ((before + (sizes - 1) / 2) * np.minimum(1.0, 300 / np.maximum(total, 1))[:, None]).astype(np.float32)
+        own, first = mean.ravel()[of], np.flatnonzero(np.diff(row, prepend=-1))
+        if not len(first):
+            return
+        met = row[first]
+        for c, place in enumerate(self.rows):
+            away = place[ids]
+            away -= own
+            np.abs(away, out=away)
+            # Own ranks stay below 300 and a profile's below its size, so only what it lacks lies as far away as that.
+            np.minimum(away, np.float32(self.size), out=away)
+            out[met, c] = (np.add.reduceat(away, first) + unknown[met] * self.size) / total[met] / self.size
+
+    def lead(self, sentences: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language index, confidence in [0, 1], distances) of each: the lead of the nearest over the second nearest profile."""
+        d = self.distances(sentences)
+        two = np.sort(d, axis=1)[:, :2]
+        return d.argmin(1), np.minimum(1.0, (two[:, 1] - two[:, 0]) / np.maximum(two[:, 1], 1e-6) * 2), d
 
     def best(self, sentence: str) -> tuple[int, float, np.ndarray]:
-        """(language index, confidence in [0, 1], distances): the lead of the nearest over the second nearest profile."""
-        d = self.distance(sentence)
-        order = np.argsort(d, kind="stable")
-        return int(order[0]), float(min(1.0, (d[order[1]] - d[order[0]]) / max(d[order[1]], 1e-6) * 2)), d
+        """lead() of one sentence."""
+        lang, sure, d = self.lead([sentence])
+        return int(lang[0]), float(sure[0]), d[0]
 
 
 def train_profiles(documents: DataFrame, most: int = 3000) -> RankProfiles:
-    """Profiles from at most ``most`` documents whose label and folder name the same language (least hashes of the id).
+    """profiles_of() a sample of documents whose label and folder name the same language: of each language as many, ``most`` in
+    all, of distinct texts. A language without labelled documents gets an empty profile."""
+    return profiles_of(draw_texts(documents, {"agreed": (agreed_language(), most)})["agreed"])
 
-    Their texts are distinct and as many of each language, as far as it has them.
-    The labels are unsure, so each sentence is then given to the nearest of these first profiles, and the profiles are
-    counted again from the sentences. A language without labelled documents gets an empty profile.
-    """
+
+def learn_languages(documents: DataFrame, most_labelled: int = 3000, most_punctuated: int = 4000) -> tuple[RankProfiles, BoundaryModel]:
+    """train_profiles() and learn_boundaries() from one draw."""
+    drawn = draw_texts(documents, {"agreed": (agreed_language(), most_labelled), "punctuated": (punctuated_language(), most_punctuated)})
+    return profiles_of(drawn["agreed"]), boundaries_of(drawn)
+
+
+def agreed_language() -> Column:
+    """The language that a document's label and folder both name, else null."""
     code, folder = label_code(F.col("lang")), F.lower(F.substring_index("wav_name", "/", 1))
-    agreed = documents.where((code == folder) & code.isin(*LANGUAGES)).select("doc_id", "text", code.alias("code"))
-    return profiles_of([(code, text) for _, text, code in draw_texts(agreed, most, "code")])
+    return F.when((code == folder) & code.isin(*LANGUAGES), code)
 
 
-def profiles_of(labelled: list[tuple[str, str]]) -> RankProfiles:
-    counts = {lang: Counter() for lang in LANGUAGES}
-    split = [(code, split_sentences(text)) for code, text in labelled]
-    for code, sentences in split:
-        for s in sentences:
-            counts[code].update(ngrams(s))
-    first, again = RankProfiles(counts), {lang: Counter() for lang in LANGUAGES}
-    for _, sentences in split:
-        for s in sentences:
-            lang, sure, _ = first.best(s)
-            if sure > 0.1:
-                again[LANGUAGES[lang]].update(ngrams(s))
-    return RankProfiles(again)
+def profiles_of(labelled: list[tuple[int, str, str]]) -> RankProfiles:
+    """Profiles from (id, text, language). The labels are unsure, so each sentence is given to the nearest of the first profiles, and
+    the profiles are counted again from the sentences."""
+    split = split_texts([text for _, text, _ in labelled])
+    words = {lang: Counter() for lang in LANGUAGES}
+    for (_, _, code), sentences in zip(labelled, split):
+        words[code].update(words_of(sentences))
+    flat = [s for x in split for s in x]
+    first, again = RankProfiles({x: _profile(c) for x, c in words.items()}), {lang: Counter() for lang in LANGUAGES}
+    lang, sure, _ = first.lead(flat)
+    for c, name in enumerate(LANGUAGES):
+        again[name].update(words_of([flat[i] for i in np.flatnonzero((lang == c) & (sure > 0.1))]))
+    return RankProfiles({x: _profile(c) for x, c in again.items()})
+
+
+def _profile(words: Counter) -> Counter:
+    return ngram_counts(Counter({w: n for w, n in words.items() if w != "\n"}))
 
 
 #: A sentence whose lead is below this takes its neighbours' language unless the two of them differ.
 UNSURE = 0.12
 
 
-def segment(sentences: list[str], profiles: RankProfiles, hint: str | None = None) -> list[tuple[str, float, int]]:
-    """(language, confidence, sentences) of each run of sentences of one language, in order.
+def languages_of(sentences: list[list[str]], profiles: RankProfiles, hints: list[str | None] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(language index, confidence) of every sentence of every document, in order.
 
     A sentence with a slim lead is judged together with its neighbours; the hint decides only for a text whose first
     two languages are equally near.
     """
-    if not sentences:
-        return []
-    got = [profiles.best(s) for s in sentences]
-    langs, sure = [g[0] for g in got], [g[1] for g in got]
-    for i, s in enumerate(sure):
-        if s < UNSURE:
-            d = got[i][2].astype(np.float64) * 2
-            for j in (i - 1, i + 1):
-                if 0 <= j < len(got):
-                    d = d + got[j][2]
-            if hint in LANGUAGES:
-                d[LANGUAGES.index(hint)] -= 1e-3
-            langs[i] = int(d.argmin())
-    runs = []
-    for lang, s in zip(langs, sure):
-        if runs and runs[-1][0] == lang:
-            runs[-1][1].append(s)
-        else:
-            runs.append((lang, [s]))
-    return [(LANGUAGES[lang], float(np.mean(s)), len(s)) for lang, s in runs]
-
-
-SEGMENTS = "array<struct<lang:string,confidence:double,sentences:int>>"
+    size = np.array([len(x) for x in sentences], dtype=np.int64)
+    doc = np.repeat(np.arange(len(size)), size)
+    lang, sure, d = profiles.lead([s for x in sentences for s in x])
+    slim = np.flatnonzero(sure < UNSURE)
+    together = d[slim].astype(np.float64) * 2
+    for step in (-1, 1):
+        j = slim + step
+        there = (j >= 0) & (j < len(doc))
+        there[there] = doc[j[there]] == doc[slim[there]]
+        together[there] += d[j[there]]
+    if hints is not None:
+        known = np.array([LANGUAGES.index(h) if h in LANGUAGES else -1 for h in hints], dtype=np.int64)[doc[slim]]
+        together[known >= 0, known[known >= 0]] -= 1e-3
+    if len(slim):
+        lang[slim] = together.argmin(1)
+    return lang, sure
+
+
+def segments_of(sentences: list[list[str]], profiles: RankProfiles, hints: list[str | None] | None = None) -> list[list[dict]]:
+    """Of each document the runs of sentences of one language, in order: lang, confidence, first (sentence, from 0), sentences."""
+    lang, sure = languages_of(sentences, profiles, hints)
+    out, at = [], 0
+    for x in sentences:
+        mine, runs = lang[at : at + len(x)], []
+        edges = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), len(x)] if len(x) else []
+        for a, b in zip(edges, edges[1:]):
+            runs.append({"lang": LANGUAGES[mine[a]], "confidence": float(sure[at + a : at + b].mean()), "first": a, "sentences": b - a})
+        out.append(runs)
+        at += len(x)
+    return out
+
+
+SEGMENTS = "array<struct<lang:string,confidence:double,first:int,sentences:int>>"
 
 
 def language_segments(documents: DataFrame, profiles: RankProfiles, boundaries: BoundaryModel) -> DataFrame:
@@ -173,12 +270,19 @@ def language_segments(documents: DataFrame, profiles: RankProfiles, boundaries:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p, b = held.value
         for pdf in batches:
-            out = [[{"lang": x, "confidence": c, "sentences": n} for x, c, n in segment(split_sentences(t, b), p, h)] for t, h in zip(pdf["text"], pdf["code"])]
+            out = segments_of(split_texts(pdf["text"].tolist(), b), p, pdf["code"].tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "code": pdf["code"], "segments": out})
 
     return spread(documents.select("doc_id", "text", label_code(F.col("lang")).alias("code"))).mapInPandas(run, f"doc_id bigint, code string, segments {SEGMENTS}")
 
 
+def placed_segments(segments: DataFrame) -> DataFrame:
+    """(doc_id, segment, first_sentence, last_sentence, lang, confidence): each run of sentences of one language with its place,
+    segments and sentences numbered from 0 within the document."""
+    rows = segments.select("doc_id", F.posexplode("segments").alias("segment", "s"))
+    return rows.select("doc_id", "segment", F.col("s.first").alias("first_sentence"), (F.col("s.first") + F.col("s.sentences") - 1).alias("last_sentence"), "s.lang", "s.confidence")
+
+
 def document_languages(segments: DataFrame) -> DataFrame:
     """(doc_id, code, lang, sentences, share, confidence): one row per language of a document, from its segments."""
     total = F.aggregate("segments", F.lit(0), lambda a, s: a + s["sentences"])
@@ -197,7 +301,7 @@ def document_languages(segments: DataFrame) -> DataFrame:
 def wrong_labels(documents: DataFrame, share: float = 0.2, most_labelled: int = 3000) -> DataFrame:
     """(doc_id, found_lang): the languages with at least ``share`` of a document's sentences, of the documents whose label is
     missing, wrong or names only one of several. Documents without sentences are not reported."""
-    segments = language_segments(documents, train_profiles(documents, most_labelled), learn_boundaries(documents))
+    segments = language_segments(documents, *learn_languages(documents, most_labelled))
     total = F.aggregate("segments", F.lit(0), lambda a, s: a + s["sentences"])
 
     def of(x: str) -> Column:

@@ -7,30 +7,40 @@ from zlib import crc32
 import numpy as np
 
 
-class FeatureHasher:
-    """Feature strings to columns; remembers those seen, up to a bound, since text repeats its features."""
-
-    def __init__(self, bits: int = 18, remember: int = 400_000):
-        self.mask, self.remember, self._known = (1 << bits) - 1, remember, {}
-
-    def __call__(self, features: list[str]) -> list[int]:
-        known, out = self._known, []
-        for f in features:
-            h = known.get(f)
-            if h is None:
-                if len(known) >= self.remember:
-                    known.clear()
-                h = known[f] = crc32(f.encode("utf-8", "surrogatepass")) & self.mask
-            out.append(h)
-        return out
-
-
-def pack(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(indptr, indices) of feature rows; a row without features gets column 0, so that every row has one."""
-    rows = [r or [0] for r in rows]
-    ptr = np.zeros(len(rows) + 1, dtype=np.int64)
-    np.cumsum([len(r) for r in rows], out=ptr[1:])
-    return ptr, np.fromiter((x for r in rows for x in r), dtype=np.int32, count=int(ptr[-1]))
+class Hashes(dict):
+    """Tokens to 32-bit hashes; remembers those seen, up to a bound, since text repeats its tokens."""
+
+    def __init__(self, remember: int = 400_000):
+        super().__init__()
+        self.remember = remember
+
+    def __missing__(self, token: str) -> int:
+        h = self[token] = crc32(token.encode("utf-8", "surrogatepass"))
+        return h
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        if len(self) > self.remember:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+
+
+def columns(bits: int, kind: int, *parts: np.ndarray) -> np.ndarray:
+    """The column of each feature made of a kind and one or more token hashes in order."""
+    h = np.full(len(parts[0]), kind, dtype=np.uint64)
+    for p in parts:
+        h = (h ^ p) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def gathered(row: np.ndarray, idx: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(indptr, indices) of features given one by one with their rows; a row without features gets column 0."""
+    empty = np.flatnonzero(np.bincount(row, minlength=rows) == 0)
+    row, idx = np.concatenate([row, empty]), np.concatenate([idx, np.zeros(len(empty), dtype=np.int32)])
+    order = np.argsort(row, kind="stable")
+    ptr = np.zeros(rows + 1, dtype=np.int64)
+    np.cumsum(np.bincount(row, minlength=rows), out=ptr[1:])
+    return ptr, idx[order]
 
 
 class OneVersusRest:

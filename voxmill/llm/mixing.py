@@ -7,8 +7,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxmill.llm.tokens import TOKENIZER, sizer
+from voxmill.session import spread
+
 DIMENSIONS = ("source", "lang", "topic")
 BUCKETS = 2000
+MOST_CELLS = 100_000
 
 
 def source_code(source: Column) -> Column:
@@ -82,22 +86,26 @@ def mix(items: DataFrame, targets: DataFrame) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, weight, uses): how often each document stands in the mix; unused ones have 0.
 
     ``items`` has doc_id, source, lang, topic, tokens (nulls of the three become 'none'); read twice, so give it
-    written or checkpointed. ``targets`` has source, target_share, max_repeat. The driver sees one row a cell of
-    source, language and topic, and one a source and bucket below, both bounded by the dimensions' values.
+    written or checkpointed. ``targets`` has source, target_share, max_repeat. Sources without a target are one source
+    from the start, so the driver sees one row a cell of target source, language and topic, and one a target and bucket
+    below, however many sources there are. Languages and topics are categories: over ``MOST_CELLS`` cells are an error.
 
     A document of weight w is used floor(w) times and once more with probability w - floor(w): if a number drawn from
     its id's hash lies below that. Each source's border is then moved, by a histogram of the distances from it, to where
     the source's tokens meet its goal; so the shares reached do not depend on luck. No document is used more often than
     its source allows. Repeated ids are used alike; an empty table gives an empty mix.
     """
-    clean = items.select(
-        "doc_id", F.coalesce(source_code(F.col("source")), F.lit("none")).alias("source"), F.coalesce("lang", F.lit("none")).alias("lang"),
-        F.coalesce("topic", F.lit("none")).alias("topic"), F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"),
-    )
     want = targets.groupBy(source_code(F.col("source")).alias("source")).agg(F.sum("target_share").alias("share"), F.max("max_repeat").alias("max_repeat")).where("source is not null").toPandas()
     share = dict(zip(want["source"], want["share"].fillna(0.0)))
     repeat = {s: int(r) if r == r and r is not None else 1 for s, r in zip(want["source"], want["max_repeat"])}
-    cells = clean.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).toPandas()
+    source = F.coalesce(source_code(F.col("source")), F.lit("none"))
+    clean = items.select(
+        "doc_id", source.alias("source"), F.when(source.isin(*share), source).alias("_cell"), F.coalesce("lang", F.lit("none")).alias("lang"),
+        F.coalesce("topic", F.lit("none")).alias("topic"), F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"),
+    )
+    cells = clean.groupBy(F.coalesce("_cell", F.lit("")).alias("source"), "lang", "topic").agg(F.sum("tokens").alias("tokens")).limit(MOST_CELLS + 1).toPandas()
+    if len(cells) > MOST_CELLS:
+        raise ValueError("lang and topic must be categories")
     schema = "doc_id bigint, source string, lang string, topic string, tokens bigint, weight double, uses int"
     if cells.empty:
         return items.sparkSession.createDataFrame([], schema)
@@ -105,52 +113,55 @@ def mix(items: DataFrame, targets: DataFrame) -> DataFrame:
     goals = source_goals(held, share, repeat, float(cells["tokens"].sum()))
     cells["weight"] = rake(cells, goals, repeat)
     cells["most"] = [repeat.get(s, 0) for s in cells["source"]]
-    table = items.sparkSession.createDataFrame(cells[[*DIMENSIONS, "weight", "most"]], "source string, lang string, topic string, weight double, most int")
-    drawn = clean.join(F.broadcast(table), list(DIMENSIONS))  # a row a cell: bounded by the dimensions' values
+    table = items.sparkSession.createDataFrame(cells[[*DIMENSIONS, "weight", "most"]].rename(columns={"source": "_cell"}), "_cell string, lang string, topic string, weight double, most int")
+    drawn = clean.withColumn("_cell", F.coalesce("_cell", F.lit(""))).join(F.broadcast(table), ["_cell", "lang", "topic"])  # a row a cell: MOST_CELLS at most
     base = F.least(F.floor(F.col("weight") + 1e-9), F.col("most"))
     chance = (F.xxhash64("doc_id", F.lit("mix")).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)) - (F.col("weight") - base)
     drawn = drawn.withColumn("base", base.cast("int")).withColumn("away", F.when(base < F.col("most"), chance))
     bucket = F.floor((F.col("away") + 1) * (BUCKETS / 2)).cast("int")
     drawn = drawn.withColumn("bucket", bucket)
-    seen = drawn.groupBy("source", "bucket").agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("base")).alias("b")).toPandas()
-    edges = []
-    for s, part in seen.groupby("source"):
+    seen = drawn.where("most > 0").groupBy("_cell", "bucket").agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("base")).alias("b")).toPandas()
+    uses = F.col("base")
+    for s, part in seen.groupby("_cell"):
         extra = part.dropna(subset=["bucket"]).sort_values("bucket")
         reached = float(part["b"].sum()) + np.concatenate([[0.0], np.cumsum(extra["t"].to_numpy(dtype=float))])
         k = int(np.abs(reached - goals.get(s, 0.0)).argmin())
-        edges.append((s, int(extra["bucket"].iloc[k - 1]) if k else -1))
-    border = F.create_map(*[F.lit(x) for e in edges for x in e])
-    uses = F.col("base") + F.when(F.col("bucket") <= F.element_at(border, F.col("source")), 1).otherwise(0)
+        if k:
+            uses = uses + F.when((F.col("_cell") == s) & (F.col("bucket") <= int(extra["bucket"].iloc[k - 1])), 1).otherwise(0)
     return drawn.select("doc_id", *DIMENSIONS, "tokens", "weight", uses.cast("int").alias("uses"))
 
 
 def shares_reached(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, max_repeat, documents, tokens, share): what the mix holds of each target source."""
-    per = mixed.groupBy("source").agg(F.sum(F.when(F.col("uses") > 0, 1).otherwise(0)).alias("documents"), F.sum(F.col("tokens") * F.col("uses")).alias("tokens"), F.max("uses").alias("most_used"))
-    per = per.withColumn("whole", F.sum("tokens").over(Window.partitionBy()))  # a row a source
     want = targets.groupBy(source_code(F.col("source")).alias("source")).agg(F.sum("target_share").alias("target_share"), F.max("max_repeat").alias("max_repeat"))
+    used = mixed.join(F.broadcast(want.select("source")), "source", "left_semi")  # a row a target
+    per = used.groupBy("source").agg(F.sum(F.when(F.col("uses") > 0, 1).otherwise(0)).alias("documents"), F.sum(F.col("tokens") * F.col("uses")).alias("tokens"), F.max("uses").alias("most_used"))
+    per = per.withColumn("whole", F.sum("tokens").over(Window.partitionBy()))  # a row a target
     out = want.join(per, "source", "left")
     tokens = F.coalesce("tokens", F.lit(0))
     return out.select("source", "target_share", "max_repeat", F.coalesce("documents", F.lit(0)).alias("documents"), tokens.alias("tokens"), F.coalesce("most_used", F.lit(0)).alias("most_used"), F.coalesce(tokens / F.col("whole"), F.lit(0.0)).alias("share"))
 
 
-def describe(sized: DataFrame, profiles, model) -> DataFrame:
-    """(doc_id, source, lang, topic, tokens): the main language and leading subject of each sized document, by one pass
-    of the language profiles and subject classifiers. A document without sentences or subject gets null."""
-    held = sized.sparkSession.sparkContext.broadcast((profiles, model))
+def describe(documents: DataFrame, model, tokenizer: str = TOKENIZER) -> DataFrame:
+    """(doc_id, source, lang, topic, tokens): size, main language and leading subject of each document, by one pass that cuts each
+    text once. ``model`` is a SubjectModel with its languages. A document without sentences or subject gets null."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        from voxmill.llm.language import LANGUAGES
-        from voxmill.llm.sentences import split_sentences
+        from voxmill.llm.language import LANGUAGES, languages_of
+        from voxmill.llm.sentences import split_texts
 
-        p, m = held.value
+        m, sizes = held.value, sizer(tokenizer)
         for pdf in batches:
-            langs = []
-            for text in pdf["text"]:
-                got = np.bincount([p.best(s)[0] for s in split_sentences(text, m.boundaries)], minlength=len(LANGUAGES))
-                langs.append(LANGUAGES[int(got.argmax())] if got.any() else None)
-            share, _ = m.shares(pdf["text"].tolist())
+            texts = pdf["text"].tolist()
+            split = split_texts(texts, m.boundaries)
+            lang, _ = languages_of(split, m.languages)
+            doc = np.repeat(np.arange(len(split)), [len(x) for x in split])
+            main = np.zeros((len(split), len(LANGUAGES)), dtype=np.int64)
+            np.add.at(main, (doc, lang), 1)
+            share, _ = m.shares_of(split)
+            langs = [LANGUAGES[int(r.argmax())] if r.any() else None for r in main]
             topics = [m.subjects[int(r.argmax())] if len(r) and r.max() >= 0.25 else None for r in share]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "lang": langs, "topic": topics, "tokens": pdf["tokens"]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "lang": langs, "topic": topics, "tokens": pd.array(sizes(texts), dtype="Int32")})
 
-    return sized.select("doc_id", "source", "text", "tokens").mapInPandas(run, "doc_id bigint, source string, lang string, topic string, tokens int")
+    return spread(documents.select("doc_id", "source", "text")).mapInPandas(run, "doc_id bigint, source string, lang string, topic string, tokens int")

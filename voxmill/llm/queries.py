@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import language, mixing, packing, repetition, sentences, splitting, subjects, termfreq, visible
-from voxmill.llm.tokens import token_sizes
+from voxmill.llm import language, mixing, packing, repetition, splitting, subjects, termfreq, visible
 from voxmill.session import checkpoint_dir, table
 
 
@@ -18,6 +17,10 @@ def p1_visible_form(spark: SparkSession, d: str) -> DataFrame:
     return visible.visible_form(table(spark, d, "documents"), "doc_id")
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    return visible.look_classes(table(spark, d, "documents"), "doc_id")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return termfreq.term_table(table(spark, d, "transcripts"), table(spark, d, "hotwords")).where("mark is not null").select("field", "term", "mark")
 
@@ -36,14 +39,27 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.pieces(split).withColumnRenamed("item", "msg_id")
 
 
+def p4_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Each long message with its pieces' begin and end, and how many pieces break the limit, the overlap, or follow no other."""
+    split = splitting.long_messages(table(spark, d, "result_message"), table(spark, d, "session_config"))
+    return splitting.piece_faults(split).withColumnRenamed("item", "msg_id")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return language.wrong_labels(table(spark, d, "documents"))
 
 
-def p5_languages(spark: SparkSession, d: str) -> DataFrame:
+def _segments(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents")
-    segments = language.language_segments(documents, language.train_profiles(documents), sentences.learn_boundaries(documents))
-    return language.document_languages(segments)
+    return language.language_segments(documents, *language.learn_languages(documents))
+
+
+def p5_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.document_languages(_segments(spark, d))
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.placed_segments(_segments(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -66,12 +82,16 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p7_pack(spark, d), _packs(spark, d))
 
 
+def p7_faults(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_faults(p7_pack(spark, d), _packs(spark, d)).select("pack_name", "items", "overfull", "torn", "uneven")
+
+
+def _subject_model(spark: SparkSession, d: str) -> subjects.SubjectModel:
+    return subjects.learn_subjects(table(spark, d, "documents"), table(spark, d, "subject_seed"), table(spark, d, "subject_area"), sections=["wav_name", "source"])
+
+
 def _mix(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents")
-    model = subjects.learn_subjects(documents, table(spark, d, "subject_seed"), table(spark, d, "subject_area"))
-    profiles = language.train_profiles(documents)
-    sized = token_sizes(documents, ["doc_id", "source", "text", "lang"])
-    described = mixing.describe(sized, profiles, model)
+    described = mixing.describe(table(spark, d, "documents"), _subject_model(spark, d))
     checkpoint_dir(spark)
     return mixing.mix(described.checkpoint(), table(spark, d, "mix_target"))
 
@@ -84,14 +104,21 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares_reached(_mix(spark, d), table(spark, d, "mix_target"))
 
 
+def p8_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Each target with whether its documents keep to its repeats, and the uses of documents of no target, which must be 0."""
+    targets = table(spark, d, "mix_target")
+    mixed = _mix(spark, d)
+    used = mixed.where("uses > 0").groupBy("source").agg(F.max("uses").alias("most"))
+    foreign = used.join(targets, "source", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    return targets.join(used, "source", "left").select("source", (F.coalesce("most", F.lit(0)) <= F.col("max_repeat")).alias("within"), foreign.scalar().alias("foreign_sources"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents")
-    model = subjects.learn_subjects(documents, table(spark, d, "subject_seed"), table(spark, d, "subject_area"))
-    return subjects.subjects_found(subjects.subject_shares(documents, model))
+    return subjects.subjects_found(subjects.subject_shares(table(spark, d, "documents"), _subject_model(spark, d)))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_visible_form, p3_found, p3_terms, p4_found, p4_pieces, p5_found, p5_languages, p6_found, p6_shares, p7_pack, p7_fill, p8_mix, p8_shares, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_visible_form, p1_classes, p3_found, p3_terms, p4_found, p4_pieces, p4_faults, p5_found, p5_languages, p5_segments, p6_found, p6_shares, p7_pack, p7_fill, p7_faults, p8_mix, p8_shares, p8_faults, p9_found)}
 
 
 _TERMS = """
@@ -125,4 +152,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _TERMS + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
         "p3_terms": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",
         "p4_found": _LONG,
+        "p4_faults": _LONG.replace("SELECT msg_id, CASE WHEN bool_or(over_long) THEN 'forced' ELSE 'pause' END AS cut FROM lasting GROUP BY msg_id", "SELECT msg_id, min(b) AS begin_ms, max(e) AS end_ms, 0 AS too_long, 0 AS wrong_overlap, 0 AS gaps FROM pairs SEMI JOIN long USING (msg_id) GROUP BY msg_id"),
+        "p7_faults": "SELECT pack_name, (SELECT count(*) FROM documents) AS items, 0 AS overfull, 0 AS torn, 0 AS uneven FROM pack_size",
+        "p8_faults": "SELECT source, true AS within, 0 AS foreign_sources FROM mix_target",
     }
