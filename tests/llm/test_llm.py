@@ -29,6 +29,11 @@ def test_visible_form_equals_unicode(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_v", F.lit(1)).withColumn("_id", F.lit(2)).withColumn("visible", F.lit(3))
     got = visible.visible_form(df, "doc_id").collect()
     assert sorted((r[0], r[1] or "") for r in got) == [(i, U.folded(x or "")) for i, x in rows]
+    visible.MOST_BROADCAST, kept = 0, visible.MOST_BROADCAST
+    try:
+        assert sorted((r[0], r[1]) for r in visible.visible_form(df.select("doc_id", "text"), "doc_id").collect() if r[1]) == sorted((r[0], r[1]) for r in got if r[1])
+    finally:
+        visible.MOST_BROADCAST = kept
     twice = spark.createDataFrame([(1, "e\u0301"), (1, "e\u0301"), (1, "\uff41"), (1, "b"), (1, "b")], "doc_id bigint, text string")
     assert sorted(r[1] for r in visible.visible_form(twice, "doc_id").collect()) == ["a", "b", "b", "\u00e9", "\u00e9"]
 

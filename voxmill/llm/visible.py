@@ -99,24 +99,42 @@ def cluster_forms(clusters: DataFrame) -> DataFrame:
     return whole.select("cluster", F.coalesce("composed", F.when(F.char_length("_s") > 1, _compose_rest(rest)).otherwise(F.col("_s"))).alias("form"))
 
 
-def _rebuilt(work: DataFrame, carried: list[str]) -> DataFrame:
-    """(carried..., _v): work's texts ``_t`` in their visible form; a null text gives an empty one.
+#: Forms of so many bytes of clusters at most are sent to every executor.
+MOST_BROADCAST = 8 << 20
 
-    One exchange by row. The forms of clusters are found once for each distinct cluster and joined back; those of one
-    character come from a fixed table. How many distinct clusters there are depends on the data, so that join is left to
-    the planner, which broadcasts it only if it turns out small; rows that need none of it are spread over all its keys.
+
+def _cut(text: Column) -> Column:
+    """A text's plain stretches and clusters in order."""
+    return F.regexp_extract_all(text, F.lit(_patterns()[2]), F.lit(1))
+
+
+def _has_several(piece: Column) -> Column:
+    """Whether a piece is a cluster of more than one code point."""
+    return (F.char_length(piece) > 1) & ~piece.rlike(rf"\A{_patterns()[0]}\z")
+
+
+def _rebuilt(texts: DataFrame, work: DataFrame, carried: list[str]) -> DataFrame:
+    """(carried..., _v): work's texts ``_t`` in their visible form; a null text gives an empty one. ``texts`` are those texts too.
+
+    The forms of clusters are found once for each distinct cluster and written; those of one character come from a fixed
+    table. How many distinct clusters there are depends on the data: their bytes are counted, and they are broadcast
+    only up to ``MOST_BROADCAST``, else joined by an exchange, over all whose keys the other pieces are spread. Rows go
+    through one exchange.
     """
-    cutter = _patterns()[2]
+    checkpoint_dir(work.sparkSession)
+    several = texts.select(F.explode(_cut(F.col("_t"))).alias("cluster")).where(_has_several(F.col("cluster"))).distinct()
+    forms = cluster_forms(several).select(F.lit(-1).alias("_s"), "cluster", F.col("form").alias("_form")).checkpoint()
+    size = forms.agg(F.coalesce(F.sum(F.octet_length("cluster") + F.octet_length("_form")), F.lit(0))).first()[0]
     # Rows are told apart by number within their partition, so that equal rows stay two; it never crosses an exchange.
     work = work.repartition(F.col("_id"), F.col("_h")).withColumn("_r", F.monotonically_increasing_id())
-    cut = F.concat(F.coalesce(F.regexp_extract_all("_t", F.lit(cutter), F.lit(1)), F.array().cast("array<string>")), F.array(F.lit("")))  # at least one piece
+    cut = F.concat(F.coalesce(_cut(F.col("_t")), F.array().cast("array<string>")), F.array(F.lit("")))  # at least one piece
     pieces = work.select(*carried, "_r", F.posexplode(cut).alias("_p", "_piece"))
-    pieces = pieces.withColumn("_many", (F.char_length("_piece") > 1) & ~F.col("_piece").rlike(rf"\A{_patterns()[0]}\z"))
-    forms = cluster_forms(pieces.where("_many").select(F.col("_piece").alias("cluster")).distinct()).select(F.lit(-1).alias("_s"), "cluster", F.col("form").alias("_form"))
-    singles = F.broadcast(single_table(work.sparkSession))
-    found = pieces.join(singles, F.col("_piece") == F.col("one"), "left")
-    found = found.withColumn("_side", F.when(F.col("_many"), -1).otherwise(F.pmod(F.hash("_id"), F.lit(1024))))
-    found = found.join(forms, (F.col("_side") == F.col("_s")) & (F.col("_piece") == F.col("cluster")), "left")
+    found = pieces.join(F.broadcast(single_table(work.sparkSession)), F.col("_piece") == F.col("one"), "left")
+    if size <= MOST_BROADCAST:
+        found = found.join(F.broadcast(forms), F.col("_piece") == F.col("cluster"), "left")
+    else:
+        found = found.withColumn("_side", F.when(_has_several(F.col("_piece")), -1).otherwise(F.pmod(F.hash("_id"), F.lit(1024))))
+        found = found.join(forms, (F.col("_side") == F.col("_s")) & (F.col("_piece") == F.col("cluster")), "left")
     text = F.coalesce("_form", "form", "_piece")
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", text.alias("_x")))), lambda e: e["_x"]), "")
     return found.groupBy(*carried, "_r").agg(joined.alias("_v")).select(*carried, "_v")
@@ -139,18 +157,15 @@ def visible_form(df: DataFrame, id_col: str, text_col: str = "text", out_col: st
     base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     touched = _needs_work(F.col("_t"))
     work = base.where(touched).withColumn("_h", F.xxhash64("_t"))
-    return base.where(~touched).unionByName(_rebuilt(work, ["_id", "_h"]).select("_id", F.col("_v").alias("_t"))).select(F.col("_id").alias(id_col), F.col("_t").alias(out_col))
+    return base.where(~touched).unionByName(_rebuilt(work, work, ["_id", "_h"]).select("_id", F.col("_v").alias("_t"))).select(F.col("_id").alias(id_col), F.col("_t").alias(out_col))
 
 
 def _looks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_i, look, raw) of the rows with a text: its id and the digests (SHA-256) of its visible form and of its characters.
-
-    One scan; texts in which nothing changes go on as their digest.
-    """
+    """(_i, look, raw) of the rows with a text: its id and the digests (SHA-256) of its visible form and of its characters. Texts in
+    which nothing changes go on as their digest."""
     base = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.unhex(F.sha2(text_col, 256)).alias("_h"), F.col(text_col).alias("_t"), _needs_work(F.col(text_col)).alias("_w"))
-    rows = _rebuilt(base.select("_id", "_h", "_w", F.when(F.col("_w"), F.col("_t")).alias("_t")), ["_id", "_h", "_w"])
+    rows = _rebuilt(base.where("_w"), base.select("_id", "_h", "_w", F.when(F.col("_w"), F.col("_t")).alias("_t")), ["_id", "_h", "_w"])
     # Read several times by what follows: written once, as 64 bytes a row, to the shared folder.
-    checkpoint_dir(df.sparkSession)
     return rows.select(F.col("_id").alias("_i"), F.when(F.col("_w"), F.unhex(F.sha2("_v", 256))).otherwise(F.col("_h")).alias("look"), F.col("_h").alias("raw")).checkpoint()
 
 
