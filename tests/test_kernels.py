@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -50,8 +51,9 @@ def test_smoothed_times():
     assert A.smooth_times(["a", "b"], ["a", "c"], [[0, 10], [10, 20]]) == [[0, 10], [10, 20]]
     assert A.smooth_times(["a", "b"], ["a", "c", "d"], [[0, 10], [10, 21]]) == [[0, 10], [10, 15], [15, 21]]
     assert A.smooth_times(["a"], ["a"], []) == []
-    assert A.smooth_times(["a"], ["a", "b"], [[0, 10]]) == [[0, 10], [10, 10]]
-    assert A.smooth_times([], ["a"], []) == [[0, 0]]
+    assert A.smooth_times(["a"], ["a", "b"], [[0, 10]]) == [[0, 5], [5, 10]]  # the token before shares its span
+    assert A.smooth_times([], ["a"], []) == [] and A.smooth_times(["a"], [], [[0, 10]]) == []
+    assert A.smooth_times(["a", "b"], ["x", "a", "b"], [[0, 100], [100, 200]]) == [[0, 50], [50, 100], [100, 200]]  # the token after does
 
 
 def test_sentences_and_paragraphs():
@@ -133,6 +135,9 @@ def test_pieces_and_words():
     assert D.join_pieces(["he@@", "llo", "world"])[0] == "hello world"
     assert D.join_pieces(["你", "好", "ab@@", "c"])[0] == "你好abc"
     assert D.join_pieces(["a", "b", "cd"])[0] == "ab cd"
+    assert D.join_pieces(["lo@@", "中"]) == ("lo 中", False) and D.join_pieces(["he@@", "lo@@"]) == ("helo", False)
+    assert D.join_pieces(["a", "b"], after_word=True) == (" ab", True) and D.join_pieces(["中", "ab"]) == ("中ab", True)
+    assert D.join_pieces([]) == ("", False) and D.join_pieces(["<s>", "你"]) == ("你", False)
     assert D.join_pieces(["▁i'm", "▁he", "re"], "en-bpe")[0] == "I'm here"
     assert D.merge_timed_pieces(["he@@", "llo", "好"], [(0, 1), (1, 2), (2, 3)]) == (["hello", "好"], [(0, 2), (2, 3)])
     assert D.spaced(["a", "b", "你", "c"]) == "a b你c"
@@ -142,6 +147,10 @@ def test_pieces_and_words():
 def test_punctuation():
     none = lambda ws: [D.NONE] * len(ws)
     assert D.punctuate(["a", "b"], none)[0] == "a b。"
+    assert D.punctuate(["hello", "world"], lambda ws: [D.COMMA, D.NONE])[0] == "hello， world。"
+    first_end = lambda ws: [D.STOP, *[D.NONE] * (len(ws) - 1)]
+    assert D.punctuate([f"w{i}" for i in range(25)], first_end)[1] == [D.STOP, *[D.NONE] * 23, D.STOP]  # no batch ends at its first word
+    assert D.punctuate([], none) == ("", [])
     assert D.punctuate(["你", "好"], lambda ws: [D.NONE, D.COMMA])[0] == "你好。"
     words_ = [str(k) for k in range(45)]
     text, marks = D.punctuate(words_, lambda ws: [D.STOP if w.endswith("9") else D.NONE for w in ws])
@@ -245,3 +254,62 @@ def test_hop_bounds_equal_the_windows(n):
     clip = np.arange(n)
     repeated = np.tile(clip, 1024)
     assert [w.tolist() for w in D.hop_windows(clip, rate=100)] == [repeated[a:b].tolist() for a, b in D.hop_bounds(n, rate=100)]
+
+
+def test_speaker_split_hands_on_and_back(spark):
+    counts = [("a", 1), ("b", 9), ("c", 2), ("d", 2)]
+    assert K.split_by_speaker(counts, 2) == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+    assert K.split_by_speaker([("a", 1), ("b", 1), ("c", 8), ("d", 1)], 2) == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+    assert K.split_by_speaker([("a", 5), ("b", 1), ("c", 1), ("d", 1)], 2) == [("a", 0), ("b", 1), ("c", 1), ("d", 1)]
+    rows = [(s, k * 100 + i) for k, (s, c) in enumerate([("z", 5), ("y", 1), ("x", 1), ("w", 1)]) for i in range(c)] + [(None, 999)]
+    got = K.speaker_split(spark.createDataFrame(rows, "spk string, line_no int"), 2).groupBy("spk").agg(F.max("part").alias("p"), F.count("*").alias("n")).collect()
+    assert {r["spk"]: (r["p"], r["n"]) for r in got} == {"z": (0, 5), "y": (1, 1), "x": (1, 1), "w": (1, 1)}
+
+
+def test_distances_in_blocks_equal_the_matrix():
+    rng = np.random.default_rng(0)
+    for n, m in ((0, 3), (1, 1), (7, 0), (30, 41), (100, 9)):
+        a, b = rng.integers(0, 4, n), rng.integers(0, 4, m)
+        d = A._Distances(a, b)
+        assert all(d[x, y] == brute_distance(a[:x].tolist(), b[:y].tolist()) for x in range(n, -1, -1) for y in (0, m // 2, m))
+
+
+def test_distance_beyond_the_alphabet(spark):
+    many = [f"t{i}" for i in range(20_500)]
+    df = spark.createDataFrame([(many, [*many[:-1], "x"]), (["a", "b"], ["b"]), ([], [])], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(A.distance(F.col("a"), F.col("b"))).collect()] == [1, 1, 0]
+
+
+def frames_of(flags, final=True):
+    return [(t, s, final and t == len(flags) - 1) for t, s in enumerate(flags)]
+
+
+def test_streams_take_input_in_any_order(spark, tmp_path):
+    """A file a micro-batch, early frames and late messages: the same result as in order."""
+    from voxmill.plans.stream_queries import _run
+
+    rng = np.random.default_rng(3)
+    flags = (rng.random(400) < np.repeat([0.0, 1.0, 0.1, 1.0], 100)).tolist()
+    rows = [("s", int(t), bool(x), bool(f)) for t, x, f in frames_of(flags)]
+    order = rng.permutation(len(rows))
+    schema = "stream_id string, frame int, speech boolean, is_final boolean"
+    path = str(tmp_path / "frames")
+    for k in range(4):
+        part = [rows[i] for i in order[k::4]] + [rows[order[k]]]  # one frame given twice
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    bounds = _run(vad.segment_stream(twopass.paced(spark, path, schema), 350, 8000, None), spark, "vad-test").collect()
+    whole = vad.segments_of_table(spark.createDataFrame(rows, schema), 350, 8000).collect()
+    begins, ends = sorted(r["start_ms"] for r in bounds if r["start_ms"] >= 0), sorted(r["end_ms"] for r in bounds if r["end_ms"] >= 0)
+    assert begins == sorted(r["start_ms"] for r in whole) and ends == sorted(r["end_ms"] for r in whole) and len(whole) > 1
+
+
+def test_merge_keeps_late_numbers_and_first_deliveries(spark, tmp_path):
+    from voxmill.plans.stream_queries import _run
+
+    schema = "conn_id bigint, seq_no int, mode string, text string, recv_at string, msg_id bigint"
+    said = [(1, 3, "2pass-online", "d", "2025-01-01", 4), (1, 2, "2pass-offline", "C", "2025-01-03", 3), (1, 0, "2pass-online", "a", "2025-01-01", 1), (1, 1, "2pass-offline", "B", "2025-01-02", 2), (1, 1, "2pass-offline", "x", "2025-01-09", 9), (1, 2, "2pass-offline", "c", "2025-01-01", 8), (1, 4, None, None, None, 7)]
+    path = str(tmp_path / "said")
+    for row in said:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    states = _run(twopass.merge_stream(twopass.paced(spark, path, schema), None, 50), spark, "merge-test", "update")
+    assert states.groupBy("conn_id").agg(F.max_by("text", "_batch"), F.max("seq_no")).collect()[0] == (1, "Bcd", 4)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,17 +16,44 @@ from voxmill.functions import text as T
 ALIGNMENT = Y.StructType([Y.StructField(x, Y.IntegerType()) for x in "ncsdi"] + [Y.StructField(x, Y.ArrayType(Y.StringType())) for x in ("lab", "rec")])
 
 
-def _matrix(lab: np.ndarray, rec: np.ndarray) -> np.ndarray:
-    """Unit-cost edit distances of all prefixes; each row in one vectorised sweep."""
-    m = len(rec)
-    steps = np.arange(m + 1, dtype=np.int32)
-    out = np.empty((len(lab) + 1, m + 1), dtype=np.int32)
-    out[0] = steps
-    for k, token in enumerate(lab, 1):
-        best = out[k - 1] + 1
-        np.minimum(best[1:], out[k - 1, :-1] + (rec != token), out=best[1:])
-        out[k] = np.minimum.accumulate(best - steps) + steps
-    return out
+class _Distances:
+    """Unit-cost edit distances of all prefixes, each row made in one vectorised sweep.
+
+    Only every k-th row is kept, k about the root of their number; the rows between two of them are made again when the
+    way back passes through. So two texts of n tokens take memory of n * sqrt(n), and every tie is decided as in the
+    whole matrix.
+    """
+
+    def __init__(self, lab: np.ndarray, rec: np.ndarray):
+        self.lab, self.rec, self.steps = lab, rec, np.arange(len(rec) + 1, dtype=np.int32)
+        self.size = max(1, math.isqrt(len(lab)))
+        self.kept, row = [self.steps], self.steps
+        for k in range(1, len(lab) + 1):
+            row = self._next(row, k)
+            if k % self.size == 0:
+                self.kept.append(row)
+        self.block, self.rows = -1, []
+
+    def _next(self, row: np.ndarray, k: int) -> np.ndarray:
+        best = row + 1
+        np.minimum(best[1:], row[:-1] + (self.rec != self.lab[k - 1]), out=best[1:])
+        return np.minimum.accumulate(best - self.steps) + self.steps
+
+    def __getitem__(self, at: tuple[int, int]) -> int:
+        x, y = at
+        block, k = divmod(x, self.size)
+        if k == 0:
+            return self.kept[block][y]
+        if block != self.block:
+            self.block, self.rows = block, [self.kept[block]]
+            for j in range(block * self.size + 1, min(len(self.lab), (block + 1) * self.size - 1) + 1):
+                self.rows.append(self._next(self.rows[-1], j))
+        return self.rows[k][y]
+
+
+def _ids(*sides: list[str]) -> list[np.ndarray]:
+    ids: dict[str, int] = {}
+    return [np.fromiter((ids.setdefault(t, len(ids)) for t in x), dtype=np.int64, count=len(x)) for x in sides]
 
 
 def align_tokens(lab: list[str], rec: list[str]) -> tuple[int, int, int, int, int, list[str], list[str]]:
@@ -34,12 +61,10 @@ def align_tokens(lab: list[str], rec: list[str]) -> tuple[int, int, int, int, in
 
     Both lists empty give zeros; an empty side makes every token of the other an insertion or deletion.
     """
-    ids: dict[str, int] = {}
-    a = np.fromiter((ids.setdefault(t, len(ids)) for t in lab), dtype=np.int64, count=len(lab))
-    b = np.fromiter((ids.setdefault(t, len(ids)) for t in rec), dtype=np.int64, count=len(rec))
+    a, b = _ids(lab, rec)
     if len(a) == len(b) and (a == b).all():
         return len(lab), len(lab), 0, 0, 0, list(lab), list(rec)
-    d = _matrix(a, b)
+    d = _Distances(a, b)
     x, y = len(a), len(b)
     c = s = dels = ins = 0
     left, right = [], []
@@ -166,7 +191,7 @@ def keyword_errors(scored: DataFrame, clusters: DataFrame) -> DataFrame:
 def distance(a: Column, b: Column) -> Column:
     """Distance of two token arrays only, in the JVM: tokens become single characters, then the built-in measure applies.
 
-    For pairs with at most 20,000 distinct tokens, which is what the private-use characters hold here.
+    The characters are 20,000 ideographs; a pair with more distinct tokens is measured by align(), row by row.
     """
     words = F.array_distinct(F.concat(a, b))
     alphabet = "".join(chr(0x4E00 + k) for k in range(20_000))
@@ -174,7 +199,9 @@ def distance(a: Column, b: Column) -> Column:
     def spell(x: Column) -> Column:
         return F.array_join(F.transform(x, lambda t: F.substring(F.lit(alphabet), F.array_position(words, t), F.lit(1))), "")
 
-    return F.levenshtein(spell(a), spell(b))
+    few, none = F.size(words) <= len(alphabet), F.array().cast("array<string>")
+    far = align(F.when(few, none).otherwise(a), F.when(few, none).otherwise(b))
+    return F.when(few, F.levenshtein(spell(a), spell(b))).otherwise(far["s"] + far["d"] + far["i"])
 
 
 def _width(s: str) -> int:
@@ -208,60 +235,51 @@ def smooth_times(old: list[str], new: list[str], times: list[list[int]]) -> list
     """ED8: times for the tokens of a rewritten text. ``times`` has a pair for each old token, else the result is empty.
 
     Matching tokens keep their times. The old tokens of each stretch that changed give their whole span, shared out
-    evenly (whole milliseconds, the last token up to the end). A stretch with no old token gets the end before it.
+    evenly (whole milliseconds, the last token up to the end). New tokens with no old one beside them share the span of
+    the matching token that follows, or, at the end, that of the token before.
     """
-    if len(old) != len(times):
+    if len(old) != len(times) or not times:
         return []
-    ids: dict[str, int] = {}
-    a = np.array([ids.setdefault(t, len(ids)) for t in old], dtype=np.int64)
-    b = np.array([ids.setdefault(t, len(ids)) for t in new], dtype=np.int64)
-    d = _matrix(a, b)
-    x, y, ops = len(a), len(b), []
-    while x or y:
-        here = d[x, y]
-        if x and y and a[x - 1] == b[y - 1] and d[x - 1, y - 1] == here:
-            x, y = x - 1, y - 1
-            ops.append((x, y))
-        elif x and d[x - 1, y] + 1 == here:
+    pairs = [(i, j) for i, j in _matched(old, new) if old[i] == new[j]]
+    out: list[list[int]] = []
+
+    def share(begin: int, end: int, n: int) -> None:
+        each = (end - begin) // n
+        out.extend([begin + k * each, end if k == n - 1 else begin + (k + 1) * each] for k in range(n))
+
+    for (i0, j0), (i1, j1) in zip([(-1, -1), *pairs], [*pairs, (len(old), len(new))]):
+        fresh, gone, more = j1 - j0 - 1, i1 - i0 - 1, i1 < len(old)
+        if fresh and gone:
+            share(times[i0 + 1][0], times[i1 - 1][1], fresh)
+        elif fresh and more:
+            share(*times[i1], fresh + 1)
+            continue
+        elif fresh and out:
+            share(*out.pop(), fresh + 1)
+        elif fresh:
+            return []
+        if more:
+            out.append(list(times[i1]))
+    return out
+
+
+def _matched(old: list[str], new: list[str]) -> list[tuple[int, int]]:
+    """Places set against each other by the cheapest alignment; of equal ways the diagonal comes first, then a deletion."""
+    a, b = _ids(old, new)
+    d, x, y, out = _Distances(a, b), len(a), len(b), []
+    while x and y:
+        here, up, left, cross = d[x, y], d[x - 1, y], d[x, y - 1], d[x - 1, y - 1]
+        if a[x - 1] != b[y - 1] and here != cross and here == up + 1:
             x -= 1
-            ops.append((x, None))
-        elif y and d[x, y - 1] + 1 == here:
+        elif a[x - 1] != b[y - 1] and here != cross and here == left + 1:
             y -= 1
-            ops.append((None, y))
         else:
             x, y = x - 1, y - 1
-            ops.append((x, y))
-    out: list[list[int]] = []
-    gone: list[int] = []
-    fresh = 0
-
-    def settle() -> None:
-        nonlocal gone, fresh
-        if fresh:
-            begin, end = (times[gone[0]][0], times[gone[-1]][1]) if gone else ((out[-1][1],) * 2 if out else (times[0][0],) * 2 if times else (0, 0))
-            each = (end - begin) // fresh
-            out.extend([begin + k * each, end if k == fresh - 1 else begin + (k + 1) * each] for k in range(fresh))
-        gone, fresh = [], 0
-
-    for i, j in ops[::-1]:
-        if i is not None and j is not None and a[i] == b[j]:
-            settle()
-            out.append(list(times[i]))
-        else:
-            gone += [i] if i is not None else []
-            fresh += j is not None
-    settle()
-    return out
+            out.append((x, y))
+    return out[::-1]
 
 
 @F.pandas_udf(Y.ArrayType(Y.ArrayType(Y.IntegerType())))
 def realign_times(old: pd.Series, new: pd.Series, times: pd.Series) -> pd.Series:
     """ED8 over columns."""
     return pd.Series([smooth_times(list(o), list(n), [list(p) for p in t]) if o is not None and n is not None and t is not None else [] for o, n, t in zip(old, new, times)])
-
-
-def score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For mapInPandas over (utt, lab, rec): the counters only."""
-    for pdf in batches:
-        rows = [align_tokens(list(a), list(b))[:5] for a, b in zip(pdf["lab"], pdf["rec"])]
-        yield pd.DataFrame(rows, columns=["n", "c", "s", "d", "i"]).assign(utt=pdf["utt"].values)

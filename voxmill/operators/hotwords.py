@@ -22,10 +22,13 @@ def first_contexts(df: DataFrame, key: str, order: str, most: int = 5000) -> Dat
 
 
 def in_vocabulary(df: DataFrame, units: Column, vocabulary: DataFrame, unit: str = "unit") -> DataFrame:
-    """FLT10: rows all of whose units the vocabulary knows; rows without units pass. By an anti-join of their unknown units."""
-    marked = df.withColumn("_id", F.xxhash64(*df.columns)).withColumn("_units", units)
-    unknown = marked.select("_id", F.explode(F.array_distinct("_units")).alias("_u")).join(vocabulary.select(F.col(unit).alias("_u")), "_u", "left_anti").select("_id").distinct()
-    return marked.join(unknown, "_id", "left_anti").drop("_id", "_units")
+    """FLT10: rows all of whose units the vocabulary knows; rows without units pass. By an anti-join of their unknown units.
+
+    Rows are told apart by their columns; a row given twice passes or fails twice.
+    """
+    rows = df.select(F.struct(*df.columns).alias("_row"), units.alias("_units"))
+    unknown = rows.select("_row", F.explode(F.array_distinct("_units")).alias("_u")).join(vocabulary.select(F.col(unit).alias("_u")), "_u", "left_anti").select(F.col("_row").alias("_bad")).distinct()
+    return rows.join(unknown, F.col("_row").eqNullSafe(F.col("_bad")), "left_anti").select("_row.*")
 
 
 def occurrences(texts: DataFrame, words: list[str], id_col: str, text_col: str) -> DataFrame:

@@ -5,6 +5,9 @@ Row order is a column wherever it matters (``line_no``); nothing relies on the o
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,43 +104,71 @@ def row_numbers(df: DataFrame, order: list[Column], number: str = "n", total: st
     return out.drop("_p", "_at", "_before", "_all")
 
 
+def balanced_cuts(count_at: Callable[[int], int], sizes: list[int], speakers: int) -> list[int]:
+    """Where each part of a contiguous split begins, the end last, after speakers at the borders were moved to balance the sizes.
+
+    Part p begins at the first speaker i with int(i * parts / speakers) = p and holds ``sizes[p]`` utterances. In each
+    round every part in turn hands its last speaker on, then its first one back, wherever that brings the two parts
+    strictly closer. Rounds end when nothing moves.
+    """
+    parts, size = len(sizes), list(sizes)
+    cuts = [-(-p * speakers // parts) for p in range(parts + 1)]
+
+    def hand(speaker: int, source: int, target: int) -> bool:
+        c = count_at(speaker)
+        if abs((size[target] + c) - (size[source] - c)) >= abs(size[target] - size[source]):
+            return False
+        size[source], size[target] = size[source] - c, size[target] + c
+        return True
+
+    moved = True
+    while moved:
+        moved = False
+        for p in range(parts):
+            if p + 1 < parts and cuts[p] < cuts[p + 1] and hand(cuts[p + 1] - 1, p, p + 1):
+                cuts[p + 1] -= 1
+                moved = True
+            if p and cuts[p] < cuts[p + 1] and hand(cuts[p], p, p - 1):
+                cuts[p] += 1
+                moved = True
+    return cuts
+
+
 def split_by_speaker(counts: list[tuple[str, int]], parts: int) -> list[tuple[str, int]]:
     """WN3: (speaker, part from 0) for contiguous runs of speakers (name, utterances) in first-seen order, balanced by utterances.
 
-    Speakers start at part int(i * parts / speakers); then boundary speakers move to the neighbour part as long as that
-    brings the two parts strictly closer. Fewer speakers than parts is an error, as is a part left empty.
+    Fewer speakers than parts is an error. A part's only speaker never leaves it, as that brings no two parts closer.
     """
     n = len(counts)
     if n < parts:
         raise ValueError(f"{n} speakers cannot fill {parts} parts")
-    part = [i * parts // n for i in range(n)]
-    size = [0] * parts
-    for (_, c), p in zip(counts, part):
-        size[p] += c
-    moved = True
-    while moved:
-        moved = False
-        for p in range(parts - 1):
-            members, after = [i for i in range(n) if part[i] == p], [i for i in range(n) if part[i] == p + 1]
-            gap = abs(size[p] - size[p + 1])
-            for i, target, source in ((members[-1], p + 1, p) if len(members) > 1 else (None, 0, 0), (after[0], p, p + 1) if len(after) > 1 else (None, 0, 0)):
-                if i is None:
-                    continue
-                c = counts[i][1]
-                if abs((size[source] - c) - (size[target] + c)) < gap:
-                    size[source] -= c
-                    size[target] += c
-                    part[i] = target
-                    moved = True
-                    break
-    return [(s, p) for (s, _), p in zip(counts, part)]
+    sizes = [0] * parts
+    for i, (_, c) in enumerate(counts):
+        sizes[i * parts // n] += c
+    cuts = balanced_cuts(lambda i: counts[i][1], sizes, n)
+    return [(s, bisect_right(cuts, i) - 1) for i, (s, _) in enumerate(counts)]
 
 
 def speaker_split(utts: DataFrame, parts: int, speaker: str = "spk", line_no: str = "line_no") -> DataFrame:
-    """WN3 over a table: utts with ``part``. The driver sees one count a speaker."""
-    counts = [(r[0], r[1]) for r in utts.groupBy(speaker).agg(F.count(F.lit(1)).alias("c"), F.min(line_no).alias("f")).orderBy("f").collect()]
-    table = utts.sparkSession.createDataFrame(split_by_speaker(counts, parts), f"{speaker} string, part int")
-    return utts.join(table, speaker)
+    """WN3 over a table: utts with ``part``. Speakers are numbered in first-seen order in parallel; the driver sees a sum a part, and
+    blocks of counts around the borders that move."""
+    per = utts.where(F.col(speaker).isNotNull()).groupBy(speaker).agg(F.count(F.lit(1)).alias("_c"), F.min(line_no).alias("_f"))
+    placed = row_numbers(per, [F.col("_f"), F.col(speaker)], "_n", "_speakers")
+    sums = placed.groupBy(F.expr(f"_n * {int(parts)} div _speakers").alias("p")).agg(F.sum("_c").alias("t"), F.max("_speakers").alias("all")).collect()
+    n = sums[0]["all"] if sums else 0
+    if n < parts:
+        raise ValueError(f"{n} speakers cannot fill {parts} parts")
+    known: dict[int, int] = {}
+
+    def count_at(i: int) -> int:
+        if i not in known:
+            first = i - i % 1000
+            known.update({r["_n"]: r["_c"] for r in placed.where(F.col("_n").between(first, first + 999)).select("_n", "_c").collect()})
+        return known[i]
+
+    cuts = balanced_cuts(count_at, [t for _, t in sorted((r["p"], r["t"]) for r in sums)], n)
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[1:-1]]).cast("array<bigint>"), lambda c: c <= F.col("_n"))) if parts > 1 else F.lit(0)
+    return utts.join(placed.select(speaker, part.alias("part")), speaker)
 
 
 def union_all(*tables: DataFrame) -> DataFrame:

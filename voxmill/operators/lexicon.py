@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxmill.operators.keyed import row_numbers
+from voxmill.session import checkpoint_dir
 
 EPSILON, DISAMBIGUATION, BEGIN, END, UNKNOWN = "<eps>", "#0", "<s>", "</s>", "<unk>"
 
@@ -49,7 +50,7 @@ def kneser_ney_bigrams(counts: DataFrame, discount: float = 0.75) -> DataFrame:
     """AG12: (ngram, logprob) of bigrams from ngram_counts(), interpolated Kneser-Ney with one discount."""
     bi = counts.where("ord = 2").select(F.substring_index("ngram", " ", 1).alias("h"), F.substring_index("ngram", " ", -1).alias("w"), "n")
     history = bi.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    cont = bi.groupBy("w").agg(F.count(F.lit(1)).alias("before")).withColumn("pairs", F.sum("before").over(Window.partitionBy()))
+    cont = bi.groupBy("w").agg(F.count(F.lit(1)).alias("before")).withColumn("pairs", bi.agg(F.count(F.lit(1))).scalar())
     out = bi.join(history, "h").join(cont, "w")
     p = F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total") + discount * F.col("kinds") / F.col("total") * F.col("before") / F.col("pairs")
     return out.select(F.concat_ws(" ", "h", "w").alias("ngram"), F.log10(p).alias("logprob"))
@@ -57,9 +58,10 @@ def kneser_ney_bigrams(counts: DataFrame, discount: float = 0.75) -> DataFrame:
 
 def best_mixture(scores: DataFrame, rounds: int = 50) -> float:
     """AG12: the weight of the first of two models (columns p1, p2: probabilities of held-out words) by expectation
-    maximisation; each round is one distributed sum, the loop over rounds is the driver's."""
+    maximisation; each round is one distributed sum over the scores, which are written once; the loop is the driver's."""
     lam = 0.5
-    held = scores.select("p1", "p2").where("p1 + p2 > 0")
+    checkpoint_dir(scores.sparkSession)
+    held = scores.select("p1", "p2").where("p1 + p2 > 0").checkpoint()
     for _ in range(rounds):
         share = F.col("p1") * lam / (F.col("p1") * lam + F.col("p2") * (1 - lam))
         new = held.agg(F.avg(share)).collect()[0][0]
@@ -171,8 +173,3 @@ def grammar_arcs(arcs: DataFrame) -> DataFrame:
         return F.when(F.col(c).isin(BEGIN, END), EPSILON).otherwise(F.col(c))
 
     return arcs.withColumn("ilabel", F.when(F.col("ilabel") == EPSILON, DISAMBIGUATION).otherwise(silent("ilabel"))).withColumn("olabel", silent("olabel"))
-
-
-def word_probability_cost(p: Column) -> Column:
-    """GEN2: the cost of a pronunciation's probability."""
-    return -F.log(p)

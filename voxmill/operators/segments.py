@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -138,10 +136,16 @@ def pack_batches(segments: DataFrame, key: str, length: str, most_ms: float = 30
     return segments.groupBy(key).applyInPandas(run, out)
 
 
-def majority_state(frames: DataFrame, keys: list[str], order: str, flag: str, window: int = 20) -> DataFrame:
-    """WN12: df with ``votes``, the speech frames among the last ``window``; speech begins at 15 votes and ends at 15 or less."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(window - 1), 0)
-    return frames.withColumn("votes", F.sum(F.col(flag).cast("int")).over(w))
+def majority_state(frames: DataFrame, keys: list[str], order: str, flag: str, window: int = 20, begin: int = 15) -> DataFrame:
+    """WN12: df with ``votes``, the speech frames among the last ``window``, and ``speaking``: it begins with ``begin`` votes and ends
+    with as many or less. So ``begin`` votes flip the state, more make it speech, fewer silence: it is that of the last
+    frame with another number of votes, turned over once for each frame since."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    voted = frames.withColumn("votes", F.sum(F.col(flag).cast("int")).over(w.rowsBetween(-(window - 1), 0)))
+    last = F.last(F.when(F.col("votes") != begin, F.struct((F.col("votes") > begin).alias("on"), F.col("_k").alias("k"))), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    placed = voted.withColumn("_k", F.row_number().over(w)).withColumn("_last", last)
+    turned = (F.col("_k") - F.coalesce(F.col("_last.k"), F.lit(0))) % 2 == 1
+    return placed.withColumn("speaking", F.coalesce(F.col("_last.on"), F.lit(False)) != turned).drop("_k", "_last")
 
 
 def top_n_by(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -159,13 +163,3 @@ def joined_text(df: DataFrame, keys: list[str], order: Column, text: str = "text
     """AG17: each key's texts in order, with blanks between them for languages that set them."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct(order.alias("o"), F.col(text).alias("t")))), lambda x: x["t"])
     return df.where(F.col(text).isNotNull()).groupBy(*keys).agg(F.array_join(ordered, " " if blank else "").alias(text))
-
-
-def score_majority(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hysteresis of WN12 over (key, frame, votes), rows of a key in order in one batch."""
-    for pdf in batches:
-        state, out = 0, []
-        for v in pdf["votes"]:
-            state = 1 if (not state and v >= 15) else 0 if (state and v <= 15) else state
-            out.append(state)
-        yield pdf.assign(speech=out)

@@ -59,8 +59,8 @@ _add("wn9_latest_wins", lambda t: K.last_per_key(t("events").select("user_id", "
 _add("srt1_by_bytes", lambda t: K.by_bytes(t("transcripts").where("text is not null"), "text", "utt"), "SELECT * FROM transcripts WHERE text IS NOT NULL ORDER BY text, utt")
 _add("srt2_shuffled", lambda t: K.shuffled(t("wav2dur"), "utt"), "SELECT * FROM wav2dur")
 _add("srt6_by_length", lambda t: K.row_numbers(t("wav2dur").where("dur is not null").distinct(), [F.col("dur"), F.col("utt")], "place"), "SELECT *, row_number() OVER (ORDER BY dur, utt) - 1 AS place FROM (SELECT DISTINCT * FROM wav2dur WHERE dur IS NOT NULL)")
-_add("srt7_pack_batches", lambda t: S.pack_batches(t("wav2dur").where("dur > 0").select((F.crc32("utt") % 16).cast("int").alias("share"), "utt", (F.col("dur") * 1000).alias("ms")), "share", "ms").groupBy("share", "batch").agg(F.count(F.lit(1)).alias("n"), F.max("ms").alias("longest")))
-_add("srt8_suffix", lambda t: t("documents").select("doc_id", F.right("text", F.lit(100)).alias("tail")), "SELECT doc_id, right(text, 100) AS tail FROM documents")
+_add("srt7_pack_batches", lambda t: S.pack_batches(t("wav2dur").where("dur > 0").select((F.ascii(F.right("utt", F.lit(1))) % 16).alias("share"), "utt", (F.col("dur") * 1000).alias("ms")), "share", "ms").groupBy("share", "batch").agg(F.count(F.lit(1)).alias("n"), F.max("ms").alias("longest")).groupBy("share").agg(F.sum("n").alias("n"), F.sum(((F.col("n") > 1) & ((F.col("longest") * F.col("n") > 300_000) | (F.col("longest") >= 60_000))).cast("int")).alias("overfull")), "SELECT ascii(right(utt, 1)) % 16 AS share, count(*) AS n, 0 AS overfull FROM wav2dur WHERE dur > 0 GROUP BY ALL")
+_add("srt8_suffix", lambda t: t("documents").select("doc_id", F.right("text", F.lit(10_000)).alias("tail")), "SELECT doc_id, right(text, 10000) AS tail FROM documents")
 _add("prj1_utt_ids", lambda t: t("wav_scp_raw").where("audio_in like '%\t/corpus/%'").select("line_id", S.utt_of_path(F.substring_index("audio_in", "\t", -1), "/corpus").alias("utt"), S.segment_ids(F.lit("f"), F.lit("s"), F.col("line_no")).alias("seg")), "SELECT line_id, replace(regexp_replace(CASE WHEN starts_with(p, '/corpus') THEN substr(p, 8) ELSE p END, '^/+', ''), '/', '_') AS utt, printf('f-s_%04d', line_no) AS seg FROM (SELECT *, string_split(audio_in, chr(9))[-1] AS p FROM wav_scp_raw WHERE audio_in LIKE '%' || chr(9) || '/corpus/%')")
 _add("prj2_path_pieces", lambda t: t("result_message").select("msg_id", S.basename(F.col("wav_name")).alias("base"), S.extension(F.col("wav_name")).alias("ext"), S.parent(F.col("wav_name")).alias("parent"), S.stem(F.col("wav_name")).alias("stem")), r"SELECT msg_id, string_split(wav_name, '/')[-1] AS base, regexp_extract(string_split(wav_name, '/')[-1], '\.([^.]*)$', 1) AS ext, coalesce(string_split(wav_name, '/')[-2], '') AS parent, regexp_replace(string_split(wav_name, '/')[-1], '\.[^.]*$', '') AS stem FROM result_message")
 _add(
@@ -82,4 +82,4 @@ _add(
     lambda t: S.speaker_of_segments(_spans(t, "= '2pass-offline'").withColumnRenamed("msg_id", "seg"), _spans(t, "= '2pass-offline'").select("conn_id", (F.col("start") - 700).alias("start"), (F.col("end") - 900).alias("end"), F.concat(F.lit("s"), (F.col("msg_id") % 3).cast("string")).alias("speaker")).distinct().where("start < end"), "conn_id").select("conn_id", "seg", "speaker", "overlap_ms"),
     "WITH s AS (SELECT msg_id AS seg, conn_id, list_min(list_transform(p, lambda x: x[1])) AS a, list_max(list_transform(p, lambda x: x[2])) AS b FROM (" + _SPANS.format("= '2pass-offline'") + ")), g AS (SELECT * FROM s WHERE a < b), t AS (SELECT DISTINCT conn_id, a - 700 AS c, b - 900 AS d, 's' || (seg % 3) AS speaker FROM g WHERE a - 700 < b - 900), o AS (SELECT g.conn_id, seg, a, b, speaker, sum(least(b, d) - greatest(a, c)) AS ms FROM g JOIN t ON g.conn_id = t.conn_id AND a < d AND c < b GROUP BY ALL) SELECT conn_id, seg, arg_min(speaker, (-ms, speaker)) AS speaker, max(ms) AS overlap_ms FROM o GROUP BY conn_id, seg, a, b",
 )
-_add("wn12_majority", lambda t: S.majority_state(t("events").select("user_id", "event_id", (F.col("value") > 50).alias("speech")), ["user_id"], "event_id", "speech"), "SELECT user_id, event_id, value > 50 AS speech, sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS votes FROM events")
+_add("wn12_majority", lambda t: S.majority_state(t("events").select("user_id", "event_id", (F.col("value") > 20).alias("speech")), ["user_id"], "event_id", "speech"), "WITH RECURSIVE v AS (SELECT user_id, event_id, value > 20 AS speech, sum(CASE WHEN value > 20 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS votes, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events), s AS (SELECT user_id, event_id, speech, votes, k, votes >= 15 AS speaking FROM v WHERE k = 1 UNION ALL SELECT v.user_id, v.event_id, v.speech, v.votes, v.k, CASE WHEN s.speaking THEN v.votes > 15 ELSE v.votes >= 15 END FROM s JOIN v ON v.user_id = s.user_id AND v.k = s.k + 1) SELECT user_id, event_id, speech, votes, speaking FROM s")

@@ -81,7 +81,7 @@ _add("gen4_ctc_arcs_corrected", lambda t: L.ctc_arcs_corrected(_tokens(t)), _TOK
 _add("gen7_grammar_arcs", lambda t: L.grammar_arcs(L.ctc_arcs(_tokens(t)).unionByName(L.ctc_arcs(_tokens(t)).withColumn("olabel", F.lit("<s>")).withColumn("ilabel", F.lit("</s>")))), _TOK + ", a AS (" + _BLANK + " UNION ALL SELECT 0, 0, '<eps>', token FROM t WHERE token LIKE '#%' UNION ALL SELECT 0, id, token, token FROM t WHERE token NOT LIKE '#%' UNION ALL SELECT id, id, token, '<eps>' FROM t WHERE token NOT LIKE '#%' UNION ALL SELECT id, 0, '<eps>', '<eps>' FROM t WHERE token NOT LIKE '#%') SELECT src, dst, CASE WHEN ilabel = '<eps>' THEN '#0' ELSE ilabel END AS ilabel, olabel FROM a UNION ALL SELECT src, dst, '<eps>', '<eps>' FROM a")
 _add("gen1_words", lambda t: t("transcripts").select("utt", F.posexplode(L.words_of(F.col("text"))).alias("place", "word")), r"SELECT utt, CAST(i - 1 AS INT) AS place, w AS word FROM (SELECT utt, unnest(x) AS w, generate_subscripts(x, 1) AS i FROM (SELECT utt, list_filter(string_split_regex(text, '\s+'), lambda y: y <> '') AS x FROM transcripts))")
 _add("tk16_longest_match", lambda t: t("transcripts").where("text is not null").select("utt", H.units_of({w: i for i, w in enumerate(["▁the", "▁t", "he", "▁ta", "ble", "▁a", "能够", "能", "代替", "▁room", "是"])})(F.lower("text")).alias("u")).select("utt", F.array_join(F.transform("u.ids", lambda x: x.cast("string")), " ").alias("ids"), "u.known"))
-_add("tk17_join_pieces", lambda t: t("hotwords").where("hotword is not null").select("list_id", "line_no", _join_udf()(F.split(F.regexp_replace("hotword", "([a-z]{3})", "$1@@ "), " ")).alias("text")))
+_add("tk17_join_pieces", lambda t: t("hotwords").where("hotword is not null").select("list_id", "line_no", F.replace(_join_udf()(F.split(F.regexp_replace("hotword", "([a-z]{3})", "$1@@ "), " ")), F.lit(" ")).alias("letters")), "SELECT list_id, line_no, replace(hotword, ' ', '') AS letters FROM hotwords WHERE hotword IS NOT NULL")
 
 
 def _join_udf():

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from voxmill.operators import keyed as K
 from voxmill.sources import readers as R
 from voxmill.sources import sinks as W
 from voxmill.session import checkpoint_dir, table
@@ -90,11 +91,51 @@ def str3_stream_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def str8_stream_merge(spark: SparkSession, d: str) -> DataFrame:
-    """The two-pass merge as a stream over the messages in order of arrival; the last state of each connection."""
-    schema = table(spark, d, "result_message").schema
-    messages = spark.readStream.schema(schema).parquet(f"{d}/result_message.parquet*").where("conn_id is not null and seq_no is not null").select("conn_id", "seq_no", "mode", "text")
-    states = _run(twopass.merge_stream(messages, idle_ms=None), spark, "merge", "update")
-    return states.groupBy("conn_id").agg(F.max_by("text", F.col("seq_no")).alias("text"))
+    """The two-pass merge as a stream over the messages in no order of arrival, a file a micro-batch; the last state of each connection."""
+    path = _folder(spark, "messages")
+    m = table(spark, d, "result_message").where("conn_id is not null and seq_no is not null").select("conn_id", "seq_no", "mode", "text", "recv_at", "msg_id")
+    m.repartition(4, F.hash("msg_id")).write.parquet(path)
+    states = _run(twopass.merge_stream(twopass.paced(spark, path, m.schema), idle_ms=None), spark, "merge", "update")
+    return states.groupBy("conn_id").agg(F.max_by("text", F.col("_batch")).alias("text"))
+
+
+def src1_src2_snk4_by_recording(spark: SparkSession, d: str) -> DataFrame:
+    """Lines appended by recording, the folder listed, and the files of each recording read back."""
+    path = _folder(spark, "recordings")
+    rows = table(spark, d, "result_message").where("mode is not null and text <> ''").select("mode", F.regexp_replace("text", r"[\r\n]", " ").alias("value"))
+    W.write_by_recording(rows.where("char_length(value) % 2 = 0"), path, "mode")
+    W.write_by_recording(rows.where("char_length(value) % 2 = 1"), path, "mode")  # appended
+    listed = R.list_files(spark, path, "*.txt").select(F.col("speaker").alias("folder")).distinct()
+    lines = spark.read.text(path).withColumn("folder", F.concat(F.lit("mode="), F.col("mode")))
+    return lines.join(F.broadcast(listed), "folder").groupBy("folder").agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("value").alias("kinds"), F.sum(F.char_length("value")).alias("chars"))
+
+
+def src6_sentence_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Sentence arrays of messages written as JSON, a message a line, and read with the schema of the sentence files."""
+    from voxmill.functions import timing as M
+
+    path = _folder(spark, "sentences")
+    m = table(spark, d, "result_message").where("text is not null").select("msg_id", F.to_json(M.sentences(F.col("text"), M.parse_timestamps(F.col("timestamp")))).alias("j"))
+    W.write_lines(m.select(F.concat_ws("\t", F.col("msg_id").cast("string"), "j").alias("value")), path)
+    back = spark.read.text(path).select(F.split("value", "\t", 2).alias("p"))
+    return back.select(F.get("p", F.lit(0)).cast("bigint").alias("msg_id"), F.size(F.filter(F.from_json(F.get("p", F.lit(1)), M.SENTENCES), lambda s: s["punc"] != "")).alias("ends"))
+
+
+def src13_dialogues(spark: SparkSession, d: str) -> DataFrame:
+    """Dialogue lines of four and of five columns, written and read."""
+    path = _folder(spark, "dialogues")
+    t = table(spark, d, "wav2dur").where("dur > 0").select(F.col("utt"), F.lit("0").alias("a"), F.col("dur").cast("bigint").cast("string").alias("b"))
+    five = F.concat_ws("\t", "utt", "a", "b", F.lit("zh"), "utt")
+    W.write_lines(t.select(F.when(F.char_length("b") > 1, five).otherwise(F.concat_ws("\t", "utt", "a", "b", "utt")).alias("value")), path)
+    return R.parse_dialogues(spark.read.text(path))
+
+
+def snk9_flt7_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a dataset folder's files, each with its file."""
+    t = table(spark, d, "transcripts").where("text is not null").groupBy("utt").agg(F.max("text").alias("text")).join(table(spark, d, "wav2dur").where("dur is not null").groupBy("utt").agg(F.max("dur").alias("dur")), "utt")
+    rows = t.select("utt", "text", F.lower("text").alias("clean"), F.lit(0).alias("start"), F.round(F.col("dur") * 100).cast("int").alias("end"), F.concat(F.lit("/w/"), "utt").alias("path"), F.col("utt").alias("spk"), F.lit("f").alias("gender"), F.col("utt").alias("idx"))
+    files = W.dialogue_files(rows)
+    return K.union_all(*[df.groupBy(F.lit(name).alias("file")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("bytes")) for name, df in files.items() if name in ("list", "utt2spk", "wav.scp", "text.ori", "spk2gender")])
 
 
 def str2_steps(spark: SparkSession, d: str) -> DataFrame:
@@ -130,7 +171,7 @@ _SESSION_SQL = "SELECT user_id, min(ts) AS session_start, count(*) AS n FROM (SE
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (snk1_src3_manifest, snk1_src4_transcripts, snk2_src5_segments, snk6_fixed_pieces, snk8_speaker_path, snk11_messages, snk13_token_list, src11_vocabulary, str1_stream_vad, str2_steps, str3_stream_sessions, str5_closed_segments, str8_stream_merge)}
+    return {f.__name__: f for f in (snk1_src3_manifest, snk1_src4_transcripts, snk2_src5_segments, snk6_fixed_pieces, snk8_speaker_path, snk11_messages, snk13_token_list, src11_vocabulary, str1_stream_vad, str2_steps, str3_stream_sessions, str5_closed_segments, str8_stream_merge, src1_src2_snk4_by_recording, src6_sentence_arrays, src13_dialogues, snk9_flt7_dataset)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -141,6 +182,10 @@ def oracle_sql() -> dict[str, str]:
         "snk6_fixed_pieces": "SELECT utt, utt || '_' || printf('%02d', k) AS name, k * 5000 AS begin, least((k + 1) * 5000, ms) AS end FROM (SELECT utt, ms, unnest(generate_series(0, (ms - 1) // 5000)) AS k FROM (SELECT DISTINCT utt, CAST(trunc(dur * 1000) AS BIGINT) AS ms FROM (SELECT DISTINCT * FROM wav2dur) WHERE dur > 0))",
         "snk8_speaker_path": "SELECT msg_id, concat_ws('/', 'wav', string_split(wav_name, '/')[-2], string_split(wav_name, '/')[-1]) AS target FROM result_message WHERE wav_name IS NOT NULL",
         "snk11_messages": "SELECT mode, wav_name, text, coalesce(is_final, false) AS is_final, timestamp FROM result_message WHERE coalesce(is_final, false) OR text <> ''",
+        "src1_src2_snk4_by_recording": "SELECT 'mode=' || mode AS folder, count(*) AS lines, count(DISTINCT v) AS kinds, sum(length(v)) AS chars FROM (SELECT mode, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS v FROM result_message WHERE mode IS NOT NULL AND text <> '') GROUP BY mode",
+        "src6_sentence_arrays": "SELECT msg_id, len(regexp_extract_all(text, '[，。？、,?！]')) AS ends FROM result_message WHERE text IS NOT NULL",
+        "src13_dialogues": "SELECT utt AS idx, '0' AS start, b AS end, CASE WHEN length(b) > 1 THEN 'zh' END AS lang, utt AS text FROM (SELECT utt, CAST(CAST(trunc(dur) AS BIGINT) AS VARCHAR) AS b FROM wav2dur WHERE dur > 0)",
+        "snk9_flt7_dataset": "WITH t AS (SELECT utt, max(text) AS text FROM transcripts WHERE text IS NOT NULL GROUP BY utt), w AS (SELECT utt, max(dur) AS dur FROM wav2dur WHERE dur IS NOT NULL GROUP BY utt), k AS (SELECT * FROM t JOIN w USING (utt) WHERE trim(replace(lower(text), '<noise>', ''), ' ') <> '' AND round(dur * 100) > 1), l AS (SELECT 'list' AS file, utt AS v FROM k UNION ALL SELECT 'utt2spk', utt || ' ' || utt FROM k UNION ALL SELECT 'wav.scp', utt || ' /w/' || utt FROM k UNION ALL SELECT 'text.ori', utt || ' ' || text FROM k UNION ALL SELECT 'spk2gender', utt || ' f' FROM k) SELECT file, count(*) AS lines, sum(strlen(v)) AS bytes FROM l GROUP BY file",
         "snk13_token_list": "SELECT '- ' || subject AS value FROM subject_area",
         "src11_vocabulary": "SELECT subject AS token FROM subject_area",
         "str2_steps": "SELECT doc_id, CAST((strlen(text) + 1599) // 1600 AS INT) AS steps, CAST(strlen(text) % 1600 AS INT) AS rest FROM documents",

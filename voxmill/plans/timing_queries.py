@@ -50,7 +50,7 @@ _add("js3_session_settings", lambda t: t("session_config").select("cfg_id", M.se
 _add("js4_result_json", lambda t: t("result_message").select("msg_id", M.parse_result(M.result_json(F.col("mode"), F.col("wav_name"), F.col("text"), F.coalesce("is_final", F.lit(False)))).alias("r")).select("msg_id", "r.mode", "r.wav_name", "r.text", "r.is_final"), "SELECT msg_id, CASE WHEN s THEN mode END AS mode, CASE WHEN s THEN wav_name END AS wav_name, CASE WHEN s THEN text END AS text, CASE WHEN s THEN coalesce(is_final, false) END AS is_final FROM (SELECT *, coalesce(is_final, false) OR coalesce(text <> '', false) AS s FROM result_message)")
 _add("src12_hotword_lines", lambda t: t("hotwords").select("list_id", "line_no", M.hotword_line(F.concat_ws(" ", "hotword", F.col("weight").cast("string"))).alias("h")).where("h is not null").select("list_id", "line_no", "h.word", "h.weight"), r"SELECT list_id, line_no, trim(regexp_extract(l, '^(.*)\s\S+$', 1), ' ') AS word, CAST(trunc(TRY_CAST(regexp_extract(l, '(\S+)$', 1) AS FLOAT)) AS INT) AS weight FROM (SELECT *, trim(concat_ws(' ', hotword, CAST(weight AS VARCHAR)), ' ') AS l FROM hotwords) WHERE regexp_matches(l, '\s') AND TRY_CAST(regexp_extract(l, '(\S+)$', 1) AS FLOAT) IS NOT NULL")
 _add("flt10_in_vocabulary", lambda t: H.in_vocabulary(t("hotwords").where("hotword is not null").select("list_id", "line_no", "hotword"), F.filter(F.split(F.lower(F.trim("hotword")), " "), lambda w: w != ""), t("transcripts").select(F.explode(F.split(F.lower("text"), " ")).alias("unit")).distinct()), "WITH v AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS u FROM transcripts), w AS (SELECT list_id, line_no, hotword, unnest(list_filter(string_split(lower(trim(hotword, ' ')), ' '), lambda x: x <> '')) AS u FROM hotwords), bad AS (SELECT DISTINCT list_id, line_no, hotword FROM w WHERE u NOT IN (SELECT u FROM v WHERE u IS NOT NULL)) SELECT list_id, line_no, hotword FROM hotwords ANTI JOIN bad USING (list_id, line_no, hotword) WHERE hotword IS NOT NULL")
-_add("flt11_usable", lambda t: H.first_contexts(H.usable(t("hotwords"), most_bytes=12), "list_id", "line_no", 5), "SELECT * FROM hotwords WHERE strlen(hotword) <= 12 AND hotword <> '' QUALIFY row_number() OVER (PARTITION BY list_id ORDER BY line_no) <= 5")
+_add("flt11_usable", lambda t: H.first_contexts(H.usable(t("hotwords")), "list_id", "line_no"), "SELECT * FROM hotwords WHERE strlen(hotword) <= 100 AND hotword <> '' QUALIFY row_number() OVER (PARTITION BY list_id ORDER BY line_no) <= 5000")
 _add("nm15_occurrences", lambda t: H.occurrences(t("transcripts").where("text is not null").groupBy("utt").agg(F.max("text").alias("text")), ["the", "he", "table", "能够", "la"], "utt", "text"), "SELECT utt, word, CAST((length(text) - length(replace(text, word, ''))) / length(word) AS INT) AS n FROM (SELECT utt, max(text) AS text FROM transcripts WHERE text IS NOT NULL GROUP BY utt), (VALUES ('the'), ('he'), ('table'), ('能够'), ('la')) v(word) WHERE contains(text, word)")
 _UNIQUE = "(SELECT * FROM result_message QUALIFY row_number() OVER (PARTITION BY conn_id, seq_no ORDER BY recv_at, msg_id) = 1)"
 _add("str8_wn9_merged_text", lambda t: twopass.merged_text(t("result_message")), f"WITH u AS (SELECT conn_id, seq_no, coalesce(text, '') AS text, mode IN ('2pass-offline', 'offline') AS f FROM {_UNIQUE}), k AS (SELECT *, max(CASE WHEN f THEN seq_no END) OVER (PARTITION BY conn_id) AS l FROM u) SELECT conn_id, coalesce(string_agg(text, '' ORDER BY seq_no) FILTER (f OR l IS NULL OR seq_no > l), '') AS text, sum(CAST(f AS INT)) AS finals, sum(CAST(NOT f AS INT)) AS partials FROM k GROUP BY conn_id")

@@ -96,33 +96,41 @@ def merged_text(messages: DataFrame) -> DataFrame:
     return kept.groupBy("conn_id").agg(F.array_join(ordered, "").alias("text"), F.sum(F.col("final").cast("int")).alias("finals"), F.sum((~F.col("final")).cast("int")).alias("partials"))
 
 
-def merge_stream(messages: DataFrame, idle_ms: int | None = 60_000) -> DataFrame:
+def merge_stream(messages: DataFrame, idle_ms: int | None = 60_000, most_waiting: int | None = None) -> DataFrame:
     """STR8, STR9 over a stream of (conn_id, seq_no, mode, text, is_final): (conn_id, seq_no, text) after each micro-batch.
 
-    State: the fixed text, the open partial text, the numbers done. A number is applied once; numbers of one micro-batch
-    are put in order. A connection without input for ``idle_ms`` frees its state (None: never, for streams
-    that end).
+    The text is merged_text()'s whatever order the numbers come in, late ones included; of repeated deliveries the first
+    received counts (``recv_at``, ``msg_id``, where the stream has them). State: the final texts by number, and the partial
+    ones after the last final. ``most_waiting`` bounds it for connections that never end: once more numbers are held, the
+    oldest finals become one fixed text, and numbers up to them that come later are dropped. A connection without input
+    for ``idle_ms`` frees its state (None: never, for streams that end).
     """
+    order = [c for c in ("recv_at", "msg_id") if c in messages.columns]
+
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        empty = pd.DataFrame(columns=["conn_id", "seq_no", "text"])
         if state.hasTimedOut:
             state.remove()
-            yield empty
+            yield pd.DataFrame(columns=["conn_id", "seq_no", "text"])
             return
-        s = json.loads(state.get[0]) if state.exists else {"fixed": "", "open": "", "seq": -1}
-        pdf = pd.concat(list(batches)).sort_values("seq_no").drop_duplicates("seq_no")
-        for seq, mode, text in zip(pdf["seq_no"], pdf["mode"], pdf["text"].fillna("")):
-            if seq <= s["seq"]:
-                continue
-            s["seq"] = int(seq)
-            if mode in ("2pass-offline", "offline"):
-                s["fixed"], s["open"] = s["fixed"] + text, ""
-            else:
-                s["open"] += text
-        state.update((json.dumps(s),))
+        s = json.loads(state.get[0]) if state.exists else {"fixed": "", "upto": None, "seq": -1, "held": {}}
+        held = {int(k): v for k, v in s["held"].items()}  # number -> [order of delivery, whether final, text]
+        for row in pd.concat(list(batches)).to_dict("records"):
+            seq = int(row["seq_no"])
+            at = [str(row[c]) if row[c] == row[c] and row[c] is not None else "~" for c in order[:1]] + [int(row[c]) for c in order[1:]]
+            if (s["upto"] is None or seq > s["upto"]) and (seq not in held or order and at < held[seq][0]):
+                held[seq] = [at, row["mode"] in ("2pass-offline", "offline"), row["text"] if isinstance(row["text"], str) else ""]
+        last = max((k for k, (_, final, _) in held.items() if final), default=None)
+        numbers = sorted(held)
+        text = s["fixed"] + "".join(held[k][2] for k in numbers if held[k][1] or last is None or k > last)
+        s["seq"] = max([s["seq"], *numbers])
+        while most_waiting is not None and len(numbers) > most_waiting and numbers[0] != last and last is not None:
+            k = numbers.pop(0)
+            s["fixed"], s["upto"] = s["fixed"] + (held[k][2] if held[k][1] else ""), k
+            del held[k]
+        state.update((json.dumps(s | {"held": held}),))
         if idle_ms:
             state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame([(key[0], s["seq"], s["fixed"] + s["open"])], columns=["conn_id", "seq_no", "text"])
+        yield pd.DataFrame([(key[0], s["seq"], text)], columns=["conn_id", "seq_no", "text"])
 
     return messages.groupBy("conn_id").applyInPandasWithState(update, "conn_id bigint, seq_no int, text string", "state string", "update", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 

@@ -30,6 +30,7 @@ class SpeechState:
     free: int = 0  # first frame that no segment or dropped silence holds
     next: int = 0
     half: bool = False  # the begin was sent without an end
+    waiting: dict = field(default_factory=dict)  # frames that came before an earlier one: [speech, final] by number
     total: int = 0  # of the votes
 
     def feed(self, speech: bool, final: bool, tail_ms: int, longest_ms: int) -> tuple[int, int] | None:
@@ -117,7 +118,9 @@ def segment_stream(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_0
 
     The key's state is its SpeechState alone. A final frame frees it, as does ``idle_ms`` without input (processing time; None: never, for
     streams that end).
-    Frames of one micro-batch are put in order; a frame number already passed is dropped.
+    Frames are taken in order of their numbers: one that comes early waits in the state for those before it, and a final
+    frame closes the stream once all have come. A frame given twice within a micro-batch or while it waits is speech if
+    either row says so; a number already passed was taken before.
     """
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -125,9 +128,17 @@ def segment_stream(frames: DataFrame, tail_ms: int = 800, longest_ms: int = 15_0
             yield pd.DataFrame(columns=["stream_id", "start_ms", "end_ms"])
             return
         s = SpeechState(**json.loads(state.get[0])) if state.exists else SpeechState()
-        pdf = pd.concat(list(batches)).sort_values("frame").drop_duplicates("frame")
-        pdf = pdf[pdf["frame"] >= s.next]
-        rows = [(bool(a), bool(b)) for a, b in zip(pdf["speech"].fillna(False), pdf["is_final"].fillna(False))]
+        waiting = {int(k): v for k, v in s.waiting.items()}
+        pdf = pd.concat(list(batches))
+        for t, a, f in zip(pdf["frame"], pdf["speech"].fillna(False), pdf["is_final"].fillna(False)):
+            if t >= s.next:
+                had = waiting.get(int(t), [False, False])
+                waiting[int(t)] = [bool(a) or had[0], bool(f) or had[1]]
+        rows, t = [], s.next
+        while t in waiting:
+            rows.append(tuple(waiting.pop(t)))
+            t += 1
+        s.waiting = waiting
         out = boundaries(s, rows, tail_ms, longest_ms)
         if any(f for _, f in rows):
             state.remove()
