@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,8 +149,31 @@ SELECT msg_id, CASE WHEN bool_or(over_long) THEN 'forced' ELSE 'pause' END AS cu
 """
 
 
+# Fixed values, apart from the operator's own tables: what looks like what among the characters of transcripts.
+_GREEK, _AS_GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧορνϳ", "ABEZHIKMNOPTYXopvj"
+_CYRILLIC, _AS_CYRILLIC = "АВЕКМНОРСТХҮІЅЈаеорсухіѕјһԁԛԝү", "ABEKMHOPCTXYISJaeopcyxisjhdqwy"
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_BLANKS = "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+_RADICALS = "".join(map(chr, range(0x2F00, 0x2FD6)))
+
+
+def _visible_sql() -> str:
+    """A text's visible form, for the characters that transcripts hold; DuckDB has canonical normalisation only."""
+    was = _GREEK + _CYRILLIC + "ɡ" + _WIDE + _BLANKS + _RADICALS
+    now = _AS_GREEK + _AS_CYRILLIC + "g" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + " " * len(_BLANKS) + unicodedata.normalize("NFKC", _RADICALS)
+    text = "regexp_replace(text, '[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]', '', 'g')"
+    for a, b in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("…", "...")):
+        text = f"replace({text}, '{a}', '{b}')"
+    q = lambda x: x.replace("'", "''")
+    return f"nfc_normalize(translate({text}, '{q(was)}', '{q(now)}'))"
+
+
 def oracle_sql() -> dict[str, str]:
+    seen = f"WITH v AS (SELECT doc_id, text, {_visible_sql()} AS visible FROM documents) "
     return {
+        "p1_visible_form": seen + "SELECT doc_id, visible FROM v",
+        "p1_found": seen + "SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.visible = b.visible AND a.doc_id < b.doc_id AND a.text <> b.text",
+        "p1_classes": seen + "SELECT v.doc_id, c.class_id, c.kinds, c.n - t.n AS links FROM v JOIN (SELECT visible, min(doc_id) AS class_id, count(DISTINCT text) AS kinds, count(*) AS n FROM v GROUP BY visible HAVING count(DISTINCT text) > 1) c USING (visible) JOIN (SELECT text, count(*) AS n FROM v GROUP BY text) t ON t.text = v.text",
         "p3_found": _TERMS + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
         "p3_terms": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",
         "p4_found": _LONG,
