@@ -69,7 +69,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_shares(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repetition(table(spark, d, "documents")).select("doc_id", "share")
+    return repetition.repetition(table(spark, d, "documents")).select("doc_id", F.round("share", 9).alias("share"))
 
 
 def _packs(spark: SparkSession, d: str) -> list[tuple[str, int]]:
@@ -168,6 +168,23 @@ def _visible_sql() -> str:
     return f"nfc_normalize(translate({text}, '{q(was)}', '{q(now)}'))"
 
 
+def _shares_sql() -> str:
+    """p6's share by its definition: runs of the shortest sufficient weight, marked where the same run began earlier."""
+    text = rf"regexp_replace(regexp_replace({_visible_sql()}, '(?i)\bspk[0-9]+\b[ \t]*:?', chr(10), 'g'), '<[A-Za-z]+>|\[[A-Za-z]+\]', ' ', 'g')"
+    return rf"""
+WITH c AS (SELECT doc_id, regexp_replace(replace(lower({text}), '’', chr(39)), '([㐀-鿿])', ' \1 ', 'g') AS t FROM documents),
+u AS (SELECT doc_id, regexp_extract_all(t, '[㐀-鿿]|[\p{{L}}\p{{N}}]+(?:[''-][\p{{L}}\p{{N}}]+)*') AS units FROM c),
+p AS (SELECT doc_id, unnest(units) AS x, generate_subscripts(units, 1) AS i FROM u),
+w AS (SELECT *, CASE WHEN x BETWEEN '㐀' AND '鿿' THEN 1 ELSE 2 END AS w FROM p),
+s AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM w),
+r AS (SELECT a.doc_id, a.i, min(b.i) AS j FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 9 AND b.upto - a.upto + a.w >= 10 GROUP BY ALL),
+k AS (SELECT r.doc_id, i, j, row_number() OVER (PARTITION BY r.doc_id, array_to_string(units[i:j], ' ') ORDER BY i) > 1 AS again FROM r JOIN u USING (doc_id)),
+m AS (SELECT DISTINCT doc_id, unnest(generate_series(i, j)) AS i, 1 AS hit FROM k WHERE again),
+f AS (SELECT doc_id, sum(w.w) AS total, sum(CASE WHEN hit = 1 THEN w.w ELSE 0 END) AS covered FROM w LEFT JOIN m USING (doc_id, i) GROUP BY doc_id),
+shares AS (SELECT doc_id, coalesce(covered / total, 0.0) AS share FROM documents LEFT JOIN f USING (doc_id))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     seen = f"WITH v AS (SELECT doc_id, text, {_visible_sql()} AS visible FROM documents) "
     return {
@@ -178,6 +195,8 @@ def oracle_sql() -> dict[str, str]:
         "p3_terms": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",
         "p4_found": _LONG,
         "p4_faults": _LONG.replace("SELECT msg_id, CASE WHEN bool_or(over_long) THEN 'forced' ELSE 'pause' END AS cut FROM lasting GROUP BY msg_id", "SELECT msg_id, min(b) AS begin_ms, max(e) AS end_ms, 0 AS too_long, 0 AS wrong_overlap, 0 AS gaps FROM pairs SEMI JOIN long USING (msg_id) GROUP BY msg_id"),
+        "p6_shares": _shares_sql() + "SELECT doc_id, round(share, 9) AS share FROM shares",
+        "p6_found": _shares_sql() + "SELECT doc_id FROM shares WHERE share >= 0.4",
         "p7_faults": "SELECT pack_name, (SELECT count(*) FROM documents) AS items, 0 AS overfull, 0 AS torn, 0 AS uneven FROM pack_size",
         "p8_faults": "SELECT source, true AS within, 0 AS foreign_sources FROM mix_target",
     }
