@@ -59,4 +59,6 @@ def failing_lines(lines: DataFrame, id_col: str = "line_id", line_col: str = "au
     """
     loaded = strict_load(lines, id_col, line_col).select(F.col(id_col).alias("_loaded"))
     rest = lines.select(F.col(id_col), F.col(line_col)).join(loaded, F.col(id_col) == F.col("_loaded"), "left_anti")
-    return rest.select(id_col, reason(F.col(line_col)).alias("reason")).where("reason is not null")
+    why = reason(F.col(line_col))
+    # The planner moves this condition below the join, where only a line without an id is read for it.
+    return rest.where(F.col(id_col).isNotNull() | why.isNotNull()).select(id_col, why.alias("reason"))
